@@ -27,7 +27,10 @@ def grouped_pairs(df: DataFrame, group: str, item: str, value: str, tile: int =
     right = base.select(group, F.col("__own").alias("__b"), F.col(item).alias("__y"),
                         F.col(value).alias("__vy"),
                         F.explode(F.sequence(F.lit(0), "__own")).alias("__a"))
-    pairs = (left.join(right, [group, "__a", "__b"])
+    # the join multiplies its input, so its tasks must not be merged by input size
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [group, "__a", "__b"]
+    pairs = (left.repartition(n, *keys).join(right.repartition(n, *keys), keys)
              .filter((F.col("__a") < F.col("__b")) | (F.col("__x") < F.col("__y"))))
     ordered = F.col("__x") < F.col("__y")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import uniform
+from ..session import spread
 from ..sources.corpus import words_of_lines
 
 
@@ -39,7 +40,7 @@ RATINGS = """ratings as materialized (
 # tokens: words of lines with at least 8 words, and words of all lines
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 def ranked_words(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +72,7 @@ WORDS = _tokens_sql("words", 1)
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, category, tags array): language and the words of all lines."""
-    lang = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    lang = spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
     return (words_of_lines(lang, min_line=1, keep=("lang",))
             .filter(F.size("words") > 0)
             .select("doc_id", F.col("lang").alias("category"), F.col("words").alias("tags")))
@@ -82,6 +83,12 @@ labelled as materialized (
   select distinct w.doc_id, d.lang category, w.word tag from words w join documents d using (doc_id))"""
 
 
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a timestamp without time zone, whatever the session's zone."""
+    since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (since.cast("interval second").cast("decimal(18,6)") * 1000000).cast("bigint")
+
+
 # pulls(event_id, ts, user_id, arm, reward, x)
 
 def pulls(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,7 +97,7 @@ def pulls(spark: SparkSession, sf: str) -> DataFrame:
         F.col("vec_id").alias("user_id"),
         F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double")).alias("x"))
     return (events.join(users, "user_id")
-            .select("event_id", "ts", "user_id", F.col("event_type").alias("arm"),
+            .select("event_id", "ts", micros(F.col("ts")).alias("t"), "user_id", F.col("event_type").alias("arm"),
                     (F.col("value") > 50).cast("long").alias("reward"), "x"))
 
 

@@ -45,3 +45,14 @@ def bounded_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> list | None:
     """
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Input with fewer splits than cores, hashed over all cores; larger input as it is.
+
+    For scans that feed CPU-heavy row work: a small file is one split, while a
+    large table has plenty and need not be shuffled. Call it on a plain scan,
+    whose split count is known without running anything.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n, key)
