@@ -33,9 +33,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, u: st
     Neighbour lists are never collected; each round is written to the shared
     folder to keep the plan short.
     """
-    plain = edges.select(F.col(u).alias("u"), F.col(v).alias("v"))
+    plain = cut_lineage(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).distinct())
     known = plain.select("u").unionAll(plain.select("v")).distinct()
-    stars = cut_lineage(plain.filter("u <> v").distinct())
+    stars = plain.filter("u <> v")
     last = None
     for _ in range(max_rounds):
         stars = cut_lineage(_small_star(_large_star(stars)))

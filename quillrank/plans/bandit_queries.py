@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import out
 from ..operators import bandit, cofiba, graph, linucb, metrics, vectors
+from ..session import cut_lineage
 from . import fixtures as fx
 from .fixtures import ITEM_PULLS, PULLS, SCORED, sql_uniform
 from .registry import query
@@ -203,7 +204,8 @@ def cofiba_parts(spark, sf):
     state = cofiba.user_state(pulls, 2)
     items = pulls.select("item_id", "x").distinct()
     trials = pulls.agg(F.count("*")).scalar()
-    return state, items, trials, cofiba.intervals(state, items, trials)
+    # several sorted passes read the intervals: write them once
+    return state, items, trials, cut_lineage(cofiba.intervals(state, items, trials))
 
 
 @query("cofiba_user_state", f"with {COFIBA} select user_id, n, {FLAT} from ustate")
@@ -238,7 +240,7 @@ def _item_split(spark, sf):
     state, items, trials, spans = cofiba_parts(spark, sf)
     clusters = cofiba.user_clusters(spans)
     chosen = cofiba.select_items(clusters, cofiba.cluster_state(clusters, state, 2), trials)
-    return cofiba.item_edges(cofiba.user_edges(spans), chosen), items
+    return cofiba.item_edges(cut_lineage(cofiba.user_edges(spans)), chosen), items
 
 
 NEIGHBOURS = f"""{SELECTED},
