@@ -91,16 +91,22 @@ def micros(ts: Column) -> Column:
 
 # pulls(event_id, ts, user_id, arm, reward, x)
 
-def pulls(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events")
-    users = table(spark, sf, "embeddings").select(
+def user_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("user_id"),
         F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double")).alias("x"))
+
+
+def pulls_of(events: DataFrame, users: DataFrame) -> DataFrame:
     return (events.join(users, "user_id")
             .select("event_id", "ts", micros(F.col("ts")).alias("t"), "user_id", F.col("event_type").alias("arm"),
                     (F.col("value") > 50).cast("long").alias("reward"), "x"))
 
 
+def pulls(spark: SparkSession, sf: str) -> DataFrame:
+    return pulls_of(table(spark, sf, "events"), user_vectors(spark, sf))
+
+
 PULLS = """pulls as materialized (
   select event_id, ts, user_id, event_type arm, (value > 50)::bigint reward,
          embedding[1]::double x1, embedding[2]::double x2
