@@ -38,6 +38,12 @@ def ordered_split(samples: DataFrame, key: str, rate: float = 0.8) -> DataFrame:
     return ranked.select(key, F.when(F.col("before") < limit, "train").otherwise("test").alias("part"))
 
 
+def split_point(samples: DataFrame, key: str, rate: float = 0.8):
+    """The last key of the train part: keys up to it train, so a split needs no join."""
+    split = ordered_split(samples, key, rate)
+    return split.filter("part = 'train'").agg(F.max(key)).first()[0]
+
+
 def minibatches(samples: DataFrame, key: str, batch: int, epochs: int = 1, seed: str = "mb") -> DataFrame:
     """(key, epoch, batch): an independent even assignment in every epoch."""
     n = F.ceil(samples.agg(F.count("*")).scalar() / batch)

@@ -55,13 +55,17 @@ class TreesAndLinear:
 
     def fit(self, train: DataFrame, everything: DataFrame | None = None) -> "TreesAndLinear":
         """Both models see ``train``; the leaf encoder sees ``everything`` if given."""
+        everything = (train if everything is None else everything).persist()
+        train = train.persist()
         self.gbt = self.trees.fit(self.assembler.transform(train))
         leaves = [f"leaf{i}" for i in range(self.gbt.getNumTrees)]
         hot = [f"hot{i}" for i in range(self.gbt.getNumTrees)]
         encoder = OneHotEncoder(inputCols=leaves, outputCols=hot, dropLast=False, handleInvalid="keep")
-        self.encoder = encoder.fit(self.leaves(train if everything is None else everything))
+        self.encoder = encoder.fit(self.leaves(everything))
         self.joined = VectorAssembler(inputCols=hot, outputCol="encoded")
         self.model = LogisticRegression(featuresCol="encoded", labelCol="label", maxIter=100).fit(self.encode(train))
+        train.unpersist()
+        everything.unpersist()
         return self
 
     def leaves(self, samples: DataFrame) -> DataFrame:

@@ -224,9 +224,8 @@ def binary_metrics(spark, sf):
 
 def parts(spark, sf, rows=None):
     rows = fx.samples(spark, sf) if rows is None else rows
-    split = cf.ordered_split(fx.samples(spark, sf), "sample_id", 0.8)
-    marked = rows.join(split, "sample_id")
-    return marked.filter("part = 'train'").drop("part"), marked.filter("part = 'test'").drop("part")
+    last = cf.split_point(fx.table(spark, sf, "orders"), "o_orderkey")
+    return rows.filter(F.col("sample_id") <= last), rows.filter(F.col("sample_id") > last)
 
 
 def fit_and_measure(pipeline, train, test):
