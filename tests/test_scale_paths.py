@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillrank.functions.pairs import grouped_pairs
+from quillrank.functions.products import pair_sums
 from quillrank.functions.running import running
 from quillrank.operators import arms, bandit, cofiba, graph, keywords, linucb, slope_one, vectors
 
@@ -34,6 +35,22 @@ def test_hot_group_is_split_without_losing_pairs(skewed):
     assert rows(grouped_pairs(df, "user_id", "item_id", "rating")) == want
 
 
+@pytest.mark.parametrize("args", [{}, {"item_block": 7}, {"item_block": 2, "shard": 3}, {"item_block": 20, "shard": 2}])
+def test_block_products_equal_pair_by_pair(skewed, args):
+    data, df = skewed
+    plain, weighted = {}, {}
+    for (u, i, a), (v, j, b) in combinations(sorted(data), 2):
+        if u == v:
+            n, diff = plain.get((i, j), (0, 0.0))
+            plain[i, j] = n + 1, diff + a - b
+            weighted[i, j] = weighted.get((i, j), 0.0) + a * b
+    got = pair_sums(df, "user_id", "item_id", "rating", **args)
+    assert {(r.i, r.j): (r.n, r["diff"]) for r in got.collect()} == plain
+    got = pair_sums(df.withColumn("e", F.col("item_id") * 2.0), "user_id", "item_id", "rating", "e", **args)
+    assert {(r.i, r.j): r.dot for r in got.collect()} == weighted
+    assert got.filter("ei <> 2 * i or ej <> 2 * j").isEmpty()
+
+
 @pytest.mark.parametrize("top", [None, 3])
 def test_slope_one_over_many_tiles(skewed, top):
     _, df = skewed
