@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import xlogx
+from ..session import cut_lineage
 
 
 def category_counts(labelled: DataFrame) -> DataFrame:
@@ -26,14 +27,14 @@ def tag_category_counts(labelled: DataFrame) -> DataFrame:
             .groupBy("tag", "category").agg(F.count("*").alias("docs")))
 
 
-def contingency(labelled: DataFrame) -> DataFrame:
+def contingency(labelled: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """(category, tag, a, m, q, n) document counts of the observed pairs.
 
     a: in the category with the tag; m: in the category; q: with the tag; n: all.
-    The corpus is read for the pair counts and for the short category table;
-    everything else is derived from those.
+    The corpus is read for the pair counts and for the short category table,
+    which is written once because several terms need it.
     """
-    counts = category_counts(labelled)
+    counts = cut_lineage(category_counts(labelled)) if counts is None else counts
     everything = counts.agg(F.sum("docs")).scalar()
     return (tag_category_counts(labelled)
             .select("category", "tag", F.col("docs").alias("a"),
@@ -49,9 +50,9 @@ def info_gain(labelled: DataFrame) -> DataFrame:
     the documents without the word, that sum is the corpus constant corrected
     for the categories the word occurs in, so no word x category grid is built.
     """
-    counts = category_counts(labelled)
+    counts = cut_lineage(category_counts(labelled))
     whole = counts.agg(F.struct(F.sum("docs").alias("n"), F.sum(xlogx(F.col("docs"))).alias("s")))
-    per_tag = (contingency(labelled).groupBy(F.col("tag").alias("word"))
+    per_tag = (contingency(labelled, counts).groupBy(F.col("tag").alias("word"))
                .agg(F.sum("a").alias("q"), F.sum(xlogx(F.col("a"))).alias("with"),
                     F.sum(xlogx(F.col("m") - F.col("a")) - xlogx(F.col("m"))).alias("shift"))
                .withColumn("c", whole.scalar()))

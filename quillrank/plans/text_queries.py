@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import out
 from ..operators import keywords, tags, topics, vectors
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import corpus
 from . import fixtures as fx
 from .fixtures import LABELLED, TOKENS, WORDS, sql_uniform
@@ -42,7 +42,7 @@ idf as materialized (
 @query("idf_lexicon", f"""with {IDF}
 select word, round(idf, 6) + 0.0 idf, round((select avg(idf) from idf), 6) mean_idf from idf""")
 def idf_lexicon(spark, sf):
-    lexicon = keywords.idf_lexicon(fx.all_words(spark, sf))
+    lexicon = cut_lineage(keywords.idf_lexicon(fx.all_words(spark, sf)))
     return lexicon.select("word", out(F.col("idf")).alias("idf"),
                           F.round(lexicon.agg(F.avg("idf")).scalar(), 6).alias("mean_idf"))
 
@@ -57,7 +57,7 @@ select * from ranked where "rank" <= 10""")
 def tfidf_keywords(spark, sf):
     """The lexicon holds about half of the words, so the default idf is exercised."""
     words = fx.all_words(spark, sf)
-    lexicon = keywords.idf_lexicon(words).filter(fx.uniform(F.col("word")) < 0.5)
+    lexicon = cut_lineage(keywords.idf_lexicon(words).filter(fx.uniform(F.col("word")) < 0.5))
     return keywords.tfidf_keywords(words, lexicon)
 
 

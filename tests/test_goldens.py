@@ -1,6 +1,7 @@
 """Small hand-checked results."""
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
 from quillrank.operators import metrics, similarity, slope_one, tags
 from quillrank.operators.keywords import textrank_keywords, tfidf_keywords
@@ -50,6 +51,12 @@ def test_auc(spark, samples, area):
     assert round(got.auc, 6) == area
 
 
+def test_auc_agrees_with_the_exact_evaluator(spark):
+    df = spark.range(500).selectExpr("cast(pmod(hash(id), 3) = 0 as double) label", "cast(pmod(hash(id, 1), 40) as double) score")
+    exact = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
+    assert metrics.auc(df, positive=1.0).first().auc == pytest.approx(exact)
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     lines = [("sport", ["ball", "goal"]), ("sport", ["ball"]), ("tech", ["chip"]), ("tech", ["chip", "ball"])]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillrank.functions.pairs import grouped_pairs
 from quillrank.functions.products import pair_sums
-from quillrank.functions.running import running
+from quillrank.functions.running import SLICE, running, slice_by_quantile
 from quillrank.operators import arms, bandit, cofiba, graph, keywords, linucb, slope_one, vectors
 
 
@@ -70,6 +70,18 @@ def test_running_totals_equal_one_window(spark):
             assert got.select("id", "s", "m").exceptAll(want).isEmpty()
 
 
+def test_running_totals_split_a_hot_order_value(spark):
+    """Half of the rows share one order value and are cut by the tie column."""
+    df = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, 50).otherwise(F.col("id") % 97).alias("t"),
+                                 F.lit(1).alias("v"))
+    cut = slice_by_quantile(df, "t", 10, "id")
+    assert cut.groupBy(SLICE).count().agg(F.max("count")).first()[0] <= 100
+    w = W.orderBy("t", "id").rowsBetween(W.unboundedPreceding, 0)
+    want = df.select("id", F.sum("v").over(w).alias("s"))
+    got = running(df, "t", {"s": F.col("v")}, ties=("id",), slices=10)
+    assert got.select("id", "s").exceptAll(want).isEmpty()
+
+
 def test_arm_blocks_and_salted_join(spark, monkeypatch):
     requests = spark.range(30).select("id", F.array(F.col("id") / 7.0, F.col("id") % 5 * 1.0).alias("x"))
     state = spark.range(25).select(F.col("id").alias("arm"), F.array(
