@@ -64,6 +64,7 @@ def als_step(ratings: DataFrame, factors: DataFrame, k: int, **args) -> DataFram
 def als_train(ratings: DataFrame, k: int = 10, sweeps: int = 100, alpha: float = 40.0, lam: float = 10.0,
               seed: str = "als") -> tuple[DataFrame, DataFrame]:
     """(user_factors, item_factors) with plain lambda; each sweep is written to the shared folder."""
+    ratings = cut_lineage(ratings.select("user_id", "item_id", "rating"))  # read in every half sweep
     items = init_factors(ratings, "item_id", k, seed, -0.5, 0.5)
     users = None
     for _ in range(sweeps):
@@ -110,6 +111,7 @@ def gradient_round(ratings: DataFrame, users: DataFrame, items: DataFrame, k: in
 
 def batch_gd(ratings: DataFrame, k: int = 2, rounds: int = 100, step: float = 0.01, lam: float = 0.01,
              seed: str = "mf", checkpoint_every: int = 2) -> tuple[DataFrame, DataFrame]:
+    ratings = cut_lineage(ratings.select("user_id", "item_id", "rating"))  # read in every round
     users = init_factors(ratings, "user_id", k, seed + ":u")
     items = init_factors(ratings, "item_id", k, seed + ":i")
     for r in range(rounds):
