@@ -86,5 +86,5 @@ def test_unknown_word_gets_mean_idf(spark):
 
 
 def test_textrank_two_words(spark):
-    words = spark.createDataFrame([(1, ["aa", "bb"]), (2, ["solo"])], "doc_id bigint, words array<string>")
+    words = spark.createDataFrame([(1, ["aa", "bb"]), (2, ["solo"]), (3, [])], "doc_id bigint, words array<string>")
     assert rows(textrank_keywords(words)) == [(1, "aa", 1.0, 1), (1, "bb", 1.0, 2), (2, "solo", 0.15, 1)]
