@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup
+from . import bpe, exact_dedup, line_dedup, quality_rules
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.query,
+    "op7_bpe": bpe.query,
+    "op8_quality_rules": quality_rules.query,
     "op10_line_dedup": line_dedup.query,
 }
 
