@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, line_dedup, quality_rules
+from . import bpe, exact_dedup, line_dedup, near_dedup, quality_rules
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
     "op7_bpe": bpe.query,
     "op8_quality_rules": quality_rules.query,
