@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, line_dedup, near_dedup, quality_rules
+from . import bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules
 
 QUERIES = {
     "op1_near_dedup": near_dedup.query,
+    "op2_mixing": mixing.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op4_language_id": language_id.query,
     "op7_bpe": bpe.query,
     "op8_quality_rules": quality_rules.query,
     "op10_line_dedup": line_dedup.query,
