@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules
+from . import bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_near_dedup": near_dedup.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_language_id": language_id.query,
     "op7_bpe": bpe.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_substring_dedup": substring_dedup.query,
     "op10_line_dedup": line_dedup.query,
 }
 
