@@ -3,23 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillrank.llm.common import documents, saved
+from quillrank.llm import language_id
+from quillrank.llm.bpe import encode
+from quillrank.llm.common import NO_ID, documents, saved
 from quillrank.llm.exact_dedup import exact_duplicates
+from quillrank.llm.mixing import mix
+from quillrank.llm.near_dedup import near_duplicates
+
+
+def _key(column: str = "doc_id"):
+    return F.coalesce(F.col(column).cast("bigint"), F.lit(NO_ID))
+
+
+def _only(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is ``kept`` in ``decided``; repeated rows once."""
+    stay = decided.filter("kept").select(_key().alias("_key")).distinct()
+    return (docs.withColumn("_key", _key()).join(stay, "_key").withColumn("_mark", F.md5(F.coalesce("text", F.lit(""))))
+            .dropDuplicates(["_key", "_mark"]).select(*docs.columns))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told: they have letters, and one language is likelier than all others."""
+    return language_id.accepted(docs, F.lit(True))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
-    kept = exact_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """One document of each group of equal texts."""
+    return _only(docs, exact_duplicates(docs))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, and all that have none."""
+    return _only(docs, near_duplicates(docs))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it: not at all, once or twice."""
+    taken = mix(docs).filter("copies > 0").groupBy(_key().alias("_key")).agg(F.max("copies").alias("_copies"))
+    return (docs.withColumn("_key", _key()).join(taken, "_key")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every copy in the mix, and the digest of the text that they decode to."""
+    return encode(docs).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+                               F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("exact dedup", exact_stage)]
+STAGES = [("language ID", language_stage), ("exact dedup", exact_stage), ("MinHash near-dedup", near_stage),
+          ("mixing", mixing_stage), ("BPE encoding", encoding_stage)]
 
+#: None: naive Bayes, MinHash candidates, Newton steps and merges are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents table, each written and read again before the next."""
     docs = documents(spark, sf_dir)
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -95,31 +95,61 @@ def fit(docs: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> tuple[list[
     return languages, np.log(counts / counts.sum(axis=0, keepdims=True)).astype(np.float32)
 
 
+class Reader:
+    """Reads the language of texts with a fitted model."""
+
+    def __init__(self, languages: list[str], logs: np.ndarray):
+        self.languages, self.logs = languages, logs
+
+    def read(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """(most likely languages, posterior probabilities)."""
+        label, score = ["und"] * len(texts), np.zeros(len(texts))
+        some = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
+        if some:
+            buckets, bounds = grams([texts[i] for i in some])
+            logit = np.empty((len(some), len(self.languages)))
+            for k in range(len(self.languages)):
+                logit[:, k] = np.add.reduceat(self.logs[:, k][buckets], bounds[:-1], dtype=np.float64)
+            best = logit.argmax(axis=1)
+            score[some] = 1 / np.exp(logit - logit[np.arange(len(some)), best][:, None]).sum(axis=1)
+            for i, k in zip(some, best.tolist()):
+                label[i] = self.languages[k]
+        return label, score
+
+
 def predict(docs: DataFrame, languages: list[str], logs: np.ndarray) -> DataFrame:
     """(id, lang_pred, score): the most likely language and its posterior probability."""
-    shared = docs.sparkSession.sparkContext.broadcast(logs)
+    shared = docs.sparkSession.sparkContext.broadcast(Reader(languages, np.asfortranarray(logs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        names = np.array([*languages, "und"], object)
         for batch, _, _ in steps(batches):
-            texts = batch.column("text").to_pylist()
-            label = np.full(len(texts), len(languages))
-            score = np.zeros(len(texts))
-            some = [i for i, t in enumerate(texts) if has_letter(t)] if languages else []
-            if some:
-                buckets, bounds = grams([texts[i] for i in some])
-                logit = np.empty((len(some), len(languages)))
-                for k in range(len(languages)):
-                    logit[:, k] = np.add.reduceat(model[:, k][buckets], bounds[:-1], dtype=np.float64)
-                label[some] = best = logit.argmax(axis=1)
-                score[some] = 1 / np.exp(logit - logit[np.arange(len(some)), best][:, None]).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names[label].tolist(), pa.string()),
-                                              pa.array(score)], ["id", "lang_pred", "score"])
+            label, score = shared.value.read(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(label, pa.string()), pa.array(score)],
+                                             ["id", "lang_pred", "score"])
 
     return rows(docs).mapInArrow(run, "id bigint, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, learn: Column, least: float = 0.5, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is told with a score of at least ``least``.
+
+    Texts without a letter go. Rows are judged where they are: no shuffle, no join.
+    """
+    languages, logs = fit(docs, learn, fit_rows)
+    shared = docs.sparkSession.sparkContext.broadcast(Reader(languages, np.asfortranarray(logs)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = batch.column("text").fill_null("")
+            for part, _, _ in steps(iter([pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(batch))), told], ["row", "text"])])):
+                label, score = shared.value.read(part.column("text").to_pylist())
+                good = np.array([x != "und" for x in label], bool) & (score >= least)
+                yield batch.take(part.column("row").filter(pa.array(good)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, lang_pred, score), one row for each row of ``docs``.
 

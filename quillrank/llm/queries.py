@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_model, quality_rules, substring_dedup
+from . import (bpe, exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, quality_model,
+               quality_rules, substring_dedup)
 
 QUERIES = {
     "op1_near_dedup": near_dedup.query,
@@ -10,6 +11,7 @@ QUERIES = {
     "op3_exact_dedup": exact_dedup.query,
     "op4_language_id": language_id.query,
     "op5_quality_model": quality_model.query,
+    "op6_license_scan": license_scan.query,
     "op7_bpe": bpe.query,
     "op8_quality_rules": quality_rules.query,
     "op9_substring_dedup": substring_dedup.query,
