@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import uniform
 from ..functions.running import running
+from ..session import cut_lineage
 from .arms import with_arm_blocks
 
 
@@ -53,9 +54,10 @@ def epsilon_greedy(requests: DataFrame, pulls: DataFrame, epsilon: float = 0.05,
     explore = (uniform(seed, F.col("event_id")) < epsilon) | (F.col("t") < min_trials)
     draw = F.floor(uniform(seed + ":arm", F.col("event_id")) * n)
     asked = asked.select("event_id", explore.alias("explored"), F.when(explore, draw).alias("number"))
-    return (asked.join(arms.select("number", F.col("arm").alias("random_arm")), "number", "left")
-            .select("event_id", "explored",
-                    F.when(F.col("explored"), F.col("random_arm")).otherwise(best).alias("arm")))
+    asked = cut_lineage(asked)  # read for either kind
+    # only the requests that explore meet the arms: the others would share one null key
+    explored = asked.filter("explored").join(arms.select("number", "arm"), "number").select("event_id", "explored", "arm")
+    return explored.unionByName(asked.filter("not explored").select("event_id", "explored", best.alias("arm")))
 
 
 def thompson_posterior(pulls: DataFrame) -> DataFrame:

@@ -63,8 +63,12 @@ def als_step(ratings: DataFrame, factors: DataFrame, k: int, **args) -> DataFram
 
 def als_train(ratings: DataFrame, k: int = 10, sweeps: int = 100, alpha: float = 40.0, lam: float = 10.0,
               seed: str = "als") -> tuple[DataFrame, DataFrame]:
-    """(user_factors, item_factors) with plain lambda; each sweep is written to the shared folder."""
-    ratings = cut_lineage(ratings.select("user_id", "item_id", "rating"))  # read in every half sweep
+    """(user_factors, item_factors) with plain lambda; each sweep is written to the shared folder.
+
+    Repeated ratings of a cell count as their mean.
+    """
+    cells = ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
+    ratings = cut_lineage(cells)  # read in every half sweep
     items = init_factors(ratings, "item_id", k, seed, -0.5, 0.5)
     users = None
     for _ in range(sweeps):
@@ -172,17 +176,27 @@ def stratified_sgd(ratings: DataFrame, k: int = 20, epochs: int = 100, step: flo
 
 
 def bpr_triples(ratings: DataFrame, draws: int = 1, seed: str = "bpr") -> DataFrame:
-    """(user_id, pos, neg): for each rating ``draws`` items drawn evenly, rated ones left out.
+    """(user_id, pos, neg): for each rating ``draws`` items drawn evenly from those that the user has not rated.
 
-    Items get dense numbers in hash order; the drawn number is joined, not looked up in a list.
+    Users who rated everything have none. Items get dense numbers in hash order, and a draw k stands for the k-th
+    unrated number: k plus the rated numbers before it. A rated number counts once its own number less its place
+    among the user's rated ones is at most k, so one running count over both, split at its quantiles, tells all
+    draws of all users; no list of a user's items is made.
     """
+    ratings = cut_lineage(ratings.select("user_id", "item_id").distinct())
     items = ratings.select("item_id").distinct().withColumn("u", uniform(F.col("item_id")))
-    items = running(items, "u", sums={"number": F.lit(1)}, ties=("item_id",), inclusive=False)
+    items = cut_lineage(running(items, "u", sums={"number": F.lit(1)}, ties=("item_id",), inclusive=False).drop("u"))
     n = items.agg(F.count("*")).scalar()
-    drawn = ratings.select("user_id", F.col("item_id").alias("pos"),
-                           F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("d"))
-    number = F.floor(uniform(seed, F.col("d"), F.col("user_id"), F.col("pos")) * n)
-    return (drawn.withColumn("number", number)
-            .join(items.select("number", F.col("item_id").alias("neg")), "number")
-            .join(ratings.select("user_id", F.col("item_id").alias("neg")), ["user_id", "neg"], "left_anti")
-            .select("user_id", "pos", "neg"))
+    rated = ratings.join(items, "item_id")
+    placed = running(rated, "number", sums={"place": F.lit(1)}, keys=("user_id",), ties=("item_id",), inclusive=False)
+    gaps = placed.select("user_id", (F.col("number") - F.col("place")).alias("at"), F.lit(0).alias("draw"),
+                         F.col("item_id").alias("pos"))
+    left = ratings.groupBy("user_id").agg((n - F.count("*")).alias("left")).filter(F.col("left") > 0)
+    drawn = (ratings.join(left, "user_id").withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+             .select("user_id", F.floor(uniform(seed, F.col("draw"), F.col("user_id"), F.col("item_id")) * F.col("left"))
+                     .alias("at"), "draw", F.col("item_id").alias("pos")))
+    both = cut_lineage(gaps.unionByName(drawn))
+    swept = running(both, "at", sums={"before": (F.col("draw") == 0).cast("bigint")}, keys=("user_id",),
+                    ties=("draw", "pos"))
+    return (swept.filter("draw > 0").withColumn("number", F.col("at") + F.col("before"))
+            .join(items.select("number", F.col("item_id").alias("neg")), "number").select("user_id", "pos", "neg"))

@@ -8,7 +8,7 @@ from ..functions.columns import out
 from ..operators import bandit, cofiba, graph, linucb, metrics, vectors
 from ..session import cut_lineage
 from . import fixtures as fx
-from .fixtures import ITEM_PULLS, PULLS, SCORED, sql_uniform
+from .fixtures import ITEM_PULLS, PULLS, SCORED, VECTOR_PULLS, sql_uniform
 from .registry import query
 
 
@@ -123,7 +123,7 @@ def ridge_sql(name: str, key: str, source: str, ridge: float, r: str) -> str:
          sum(x1*{r}) b1, sum(x2*{r}) b2 from {source} group by {key})"""
 
 
-STATE = f"{PULLS},\n" + ridge_sql("state", "arm", "pulls", 1.0, "(case when reward = 1 then 0.8::double else 0 end)")
+STATE = f"{VECTOR_PULLS},\n" + ridge_sql("state", "arm", "pulls", 1.0, "(case when reward = 1 then 0.8::double else 0 end)")
 
 
 def flat_state(state, key, digits=6):
@@ -139,7 +139,7 @@ FLAT = ", ".join(f"round({c}, 6) + 0.0 {c}" for c in ("a11", "a12", "a22", "b1",
 
 @query("linucb_state", f"with {STATE} select arm, n, {FLAT} from state")
 def linucb_state(spark, sf):
-    return flat_state(linucb.linucb_state(fx.pulls(spark, sf), 2), ["arm", "n"])
+    return flat_state(linucb.linucb_state(fx.vector_pulls(spark, sf), 2), ["arm", "n"])
 
 
 THETA = """(a22*b1-a12*b2)/(a11*a22-a12*a12) th1, (a11*b2-a12*b1)/(a11*a22-a12*a12) th2,
@@ -149,7 +149,7 @@ THETA = """(a22*b1-a12*b2)/(a11*a22-a12*a12) th1, (a11*b2-a12*b1)/(a11*a22-a12*a
 @query("linucb_theta", f"""with {STATE}
 select arm, round(th1, 6) + 0.0 th1, round(th2, 6) + 0.0 th2 from (select arm, {THETA} from state)""")
 def linucb_theta(spark, sf):
-    theta = linucb.with_theta(linucb.linucb_state(fx.pulls(spark, sf), 2))
+    theta = linucb.with_theta(linucb.linucb_state(fx.vector_pulls(spark, sf), 2))
     return theta.select("arm", out(F.col("theta")[0]).alias("th1"), out(F.col("theta")[1]).alias("th2"))
 
 
@@ -163,7 +163,7 @@ select vec_id, arm, score from (
 def linucb_select(spark, sf):
     ctx = fx.table(spark, sf, "embeddings").select(
         "vec_id", F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double")).alias("x"))
-    return linucb.linucb_select(ctx, "vec_id", linucb.linucb_state(fx.pulls(spark, sf), 2))
+    return linucb.linucb_select(ctx, "vec_id", linucb.linucb_state(fx.vector_pulls(spark, sf), 2))
 
 
 # clustered bandit: items are named by the events, one state per user

@@ -120,10 +120,14 @@ def mf_dsgd(spark, sf):
 items as materialized (
   select item_id neg, row_number() over (order by {sql_uniform('cast(item_id as varchar)')}, item_id) - 1 k
   from (select distinct item_id from ratings)),
+unrated as materialized (
+  select user_id, neg, row_number() over (partition by user_id order by k) - 1 place
+  from (select distinct user_id from ratings) a cross join items
+  where not exists (select 1 from ratings r where r.user_id = a.user_id and r.item_id = neg)),
 drawn as (
-  select user_id, item_id pos, floor({sql_uniform("'bpr:1:'||user_id||':'||item_id")} * (select count(*) from items))::bigint k
+  select user_id, item_id pos, floor({sql_uniform("'bpr:1:'||user_id||':'||item_id")}
+    * ((select count(*) from items) - count(*) over (partition by user_id)))::bigint place
   from ratings)
-select d.user_id, d.pos, i.neg from drawn d join items i using (k)
-where not exists (select 1 from ratings r where r.user_id = d.user_id and r.item_id = i.neg)""")
+select d.user_id, d.pos, u.neg from drawn d join unrated u using (user_id, place)""")
 def bpr_triples(spark, sf):
     return mf.bpr_triples(fx.ratings(spark, sf))

@@ -90,7 +90,7 @@ def micros(ts: Column) -> Column:
     return (since.cast("interval second").cast("decimal(18,6)") * 1000000).cast("bigint")
 
 
-# pulls(event_id, ts, user_id, arm, reward, x)
+# pulls(event_id, ts, user_id, arm, reward); with the user's vector x for the models that read it
 
 def user_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(
@@ -98,17 +98,23 @@ def user_vectors(spark: SparkSession, sf: str) -> DataFrame:
         F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double")).alias("x"))
 
 
-def pulls_of(events: DataFrame, users: DataFrame) -> DataFrame:
-    return (events.join(users, "user_id")
-            .select("event_id", "ts", micros(F.col("ts")).alias("t"), "user_id", F.col("event_type").alias("arm"),
-                    (F.col("value") > 50).cast("long").alias("reward"), "x"))
+def pulls_of(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "ts", micros(F.col("ts")).alias("t"), "user_id", F.col("event_type").alias("arm"),
+                         (F.col("value") > 50).cast("long").alias("reward"))
 
 
 def pulls(spark: SparkSession, sf: str) -> DataFrame:
-    return pulls_of(table(spark, sf, "events"), user_vectors(spark, sf))
+    return pulls_of(table(spark, sf, "events"))
+
+
+def vector_pulls(spark: SparkSession, sf: str) -> DataFrame:
+    return pulls(spark, sf).join(user_vectors(spark, sf), "user_id")
 
 
 PULLS = """pulls as materialized (
+  select event_id, ts, user_id, event_type arm, (value > 50)::bigint reward from events)"""
+
+VECTOR_PULLS = """pulls as materialized (
   select event_id, ts, user_id, event_type arm, (value > 50)::bigint reward,
          embedding[1]::double x1, embedding[2]::double x2
   from events join embeddings on vec_id = user_id)"""

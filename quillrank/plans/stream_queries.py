@@ -9,13 +9,18 @@ from ..sources.corpus import words_of_lines
 from ..streaming import bandit_streams as st
 from . import fixtures as fx
 from .bandit_queries import FLAT, flat_state
-from .fixtures import PULLS
+from .fixtures import PULLS, VECTOR_PULLS
 from .registry import ORACLES, query
 
 
 def pulls(spark, sf):
-    """The logged pulls as a stream joined to the static user vectors."""
-    return fx.pulls_of(st.read_table_stream(spark, sf, "events"), fx.user_vectors(spark, sf))
+    """The logged pulls as a stream."""
+    return fx.pulls_of(st.read_table_stream(spark, sf, "events"))
+
+
+def vector_pulls(spark, sf):
+    """The pulls joined to the static user vectors."""
+    return pulls(spark, sf).join(fx.user_vectors(spark, sf), "user_id")
 
 
 @query("stream_arm_stats", ORACLES["arm_stats"])
@@ -25,16 +30,16 @@ def stream_arm_stats(spark, sf):
 
 @query("stream_linucb_state", ORACLES["linucb_state"])
 def stream_linucb_state(spark, sf):
-    return flat_state(st.stream_linucb_state(pulls(spark, sf), 2), ["arm", "n"])
+    return flat_state(st.stream_linucb_state(vector_pulls(spark, sf), 2), ["arm", "n"])
 
 
-@query("stream_user_state", f"""with {PULLS},
+@query("stream_user_state", f"""with {VECTOR_PULLS},
 s as (
   select user_id, count(*) n, 0.1::double + sum(x1*x1) a11, sum(x1*x2) a12, 0.1::double + sum(x2*x2) a22,
          sum(x1*reward) b1, sum(x2*reward) b2 from pulls group by 1)
 select user_id, n, {FLAT} from s""")
 def stream_user_state(spark, sf):
-    return flat_state(st.stream_user_state(pulls(spark, sf), 2), ["user_id", "n"])
+    return flat_state(st.stream_user_state(vector_pulls(spark, sf), 2), ["user_id", "n"])
 
 
 @query("stream_arm_daily", f"""with {PULLS}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.columns import out
@@ -48,16 +49,13 @@ def idf_lexicon(spark, sf):
 
 
 @query("tfidf_keywords", f"""with {IDF},
-half as materialized (select word, idf from idf where {sql_uniform('word')} < 0.5),
 scored as (
-  select doc_id, word, round(count(*) * coalesce(any_value(h.idf), (select avg(idf) from half)), 6) + 0.0 score
-  from words left join half h using (word) group by 1, 2),
+  select doc_id, word, round(count(*) * any_value(idf), 6) + 0.0 score from words join idf using (word) group by 1, 2),
 ranked as (select *, row_number() over (partition by doc_id order by score desc, word)::int as "rank" from scored)
 select * from ranked where "rank" <= 10""")
 def tfidf_keywords(spark, sf):
-    """The lexicon holds about half of the words, so the default idf is exercised."""
     words = fx.all_words(spark, sf)
-    lexicon = cut_lineage(keywords.idf_lexicon(words).filter(fx.uniform(F.col("word")) < 0.5))
+    lexicon = cut_lineage(keywords.idf_lexicon(words))
     return keywords.tfidf_keywords(words, lexicon)
 
 
@@ -236,11 +234,11 @@ def embedding_knn(spark, sf):
 def word2vec_vectors(spark, sf):
     lines = corpus.sentences(fx.docs(spark, sf))
     return topics.train_embedding(lines, size=16, epochs=1).getVectors().select(
-        "word", F.expr("vector").cast("string").alias("vector"))
+        "word", vector_to_array("vector").alias("vector"))
 
 
 @query("lda_topics")
 def lda_topics(spark, sf):
     words = fx.all_words(spark, sf)
-    model = topics.train_lda(words, topics=4, rounds=5, min_df=5)
+    model = topics.train_lda(words, topics=4, rounds=5)
     return topics.infer_topics(model, words)

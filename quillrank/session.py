@@ -1,16 +1,15 @@
-"""Session-level helpers: the shared folder, checkpoints and size checks."""
+"""Session-level helpers: the shared folder, checkpoints, the package on executors."""
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Largest model or lookup table (in rows) that may travel to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -38,15 +37,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> list | None:
-    """The rows of ``df`` if there are at most ``limit`` of them, else None.
-
-    One more row than the limit is fetched, never the whole table.
-    """
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Input with fewer splits than cores, hashed over all cores; larger input as it is.
 
@@ -56,3 +46,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     n = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n, key)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, so that their Python workers can import it.
+
+    Spark serves the archive from the driver to every executor, wherever the driver was started.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_quillrank_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="quillrank-package-")  # served from here as long as the driver lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "quillrank"), "zip", root, "quillrank"))
+    sc._quillrank_shipped = True

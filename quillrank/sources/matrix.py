@@ -10,8 +10,12 @@ from .corpus import split_words
 
 def read_coo(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """``user item rating`` lines; rows with missing or bad fields are skipped."""
+    return _cells(spark.read.text(path), id_type)
+
+
+def _cells(lines: DataFrame, id_type: str) -> DataFrame:
     p = F.col("p")
-    return (spark.read.text(path).select(split_words(F.col("value")).alias("p"))
+    return (lines.select(split_words(F.col("value")).alias("p"))
             .filter(F.size(p) >= 3)
             .select(p[0].try_cast(id_type).alias("user_id"), p[1].try_cast(id_type).alias("item_id"),
                     p[2].try_cast("double").alias("rating"))
@@ -19,10 +23,11 @@ def read_coo(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFra
 
 
 def read_coo_with_header(spark: SparkSession, path: str) -> DataFrame:
-    """As :func:`read_coo` for files starting with an ``m n nnz`` line."""
-    schema = "user_id bigint, item_id bigint, rating double"
-    return (spark.read.schema(schema).option("sep", " ").option("header", True)
-            .option("enforceSchema", True).csv(path).dropna())
+    """As :func:`read_coo`, any white space between fields, for files starting with an ``m n nnz`` line."""
+    # lines as one column: the separator is a character that no text has, and the reader drops each file's header
+    lines = (spark.read.schema("value string").option("sep", "\x01").option("quote", "").option("header", True)
+             .option("enforceSchema", True).csv(path))
+    return _cells(lines, "bigint")
 
 
 def write_coo(ratings: DataFrame, path: str) -> None:

@@ -29,15 +29,15 @@ def parse_libffm(line: Column) -> tuple[Column, Column]:
     """Label and features of ``label [field:]feature:value ...`` lines.
 
     Whether a field is present is decided for every feature by its number of
-    parts; without one the field is null.
+    parts; without one the field is null, and so is the feature of a word without a colon.
     """
     words = split_words(line)
 
     def feature(w: Column) -> Column:
         p = F.split(w, ":")
         return F.struct(F.when(F.size(p) > 2, p[0].try_cast("int")).alias("field"),
-                        F.element_at(p, -2).try_cast("int").alias("feature"),
-                        F.element_at(p, -1).try_cast("double").alias("value"))
+                        F.try_element_at(p, F.lit(-2)).try_cast("int").alias("feature"),
+                        F.try_element_at(p, F.lit(-1)).try_cast("double").alias("value"))
 
     return (words[0].try_cast("double"),
             F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), feature))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from quillrank.functions.pairs import grouped_pairs
 from quillrank.functions.products import pair_sums
 from quillrank.functions.running import SLICE, running, slice_by_quantile
-from quillrank.operators import arms, bandit, cofiba, graph, keywords, linucb, slope_one, vectors
+from quillrank.operators import (arms, bandit, cofiba, factorization, graph, keywords, linucb, similarity, slope_one,
+                                 vectors)
 
 
 def rows(df, digits=6):
@@ -160,3 +161,51 @@ def test_narrow_text_plans_have_no_shuffle(spark):
     words = spark.createDataFrame([(1, ["aa", "bb", "cc"])], "doc_id bigint, words array<string>")
     for df in (keywords.textrank_keywords(words), keywords.textrank_edges(words)):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("block", [1536, 7, 1])
+def test_answers_do_not_depend_on_blocks(spark, block):
+    """Repeated cells, both signs, similarities of zero."""
+    data = [(u, i, float((u * 7 + i * 3) % 5 - 2)) for u in range(9) for i in range(8) if (u + i) % 3]
+    data += [(1, 1, 2.0), (1, 1, -1.0), (4, 3, 5.0), (0, 1, 1.0), (0, 2, -1.0)]
+    df = spark.createDataFrame(data, "user_id bigint, item_id bigint, rating double")
+    cells = {}
+    for u, i, r in data:
+        cells.setdefault((u, i), []).append(r)
+    mean = {k: sum(v) / len(v) for k, v in cells.items()}
+    total = {k: sum(v) for k, v in cells.items()}
+    devs, dots = {}, {}
+    for (u, i), (v, j) in combinations(sorted(mean), 2):
+        if u == v:
+            n, d = devs.get((i, j), (0, 0.0))
+            devs[i, j] = n + 1, d + mean[u, i] - mean[v, j]
+            dots[j, i] = dots.get((j, i), 0.0) + total[u, i] * total[v, j]
+    got = slope_one.deviations(df, item_block=block)
+    assert rows(got.select("i", "j", "common", "total")) == sorted((i, j, n, round(d, 6)) for (i, j), (n, d) in devs.items())
+    found = similarity.cosine(df, rows="item_id", cols="user_id", threshold=-1.0, block=block)
+    norm = {i: sum(t * t for (_, k), t in total.items() if k == i) ** 0.5 for i in range(8)}
+    assert rows(found) == sorted((i, j, round(d / norm[i] / norm[j], 6) + 0.0) for (i, j), d in dots.items()
+                                 if norm[i] > 1e-4 and norm[j] > 1e-4)
+    assert rows(slope_one.recommend(df, top=3, item_block=block)) == rows(slope_one.recommend(df, top=3))
+
+
+def test_pairs_with_a_condition_on_the_first(skewed):
+    data, df = skewed
+    want = sorted((u, i, j, a, b) for (u, i, a), (v, j, b) in combinations(sorted(data), 2) if u == v and a > 2)
+    assert rows(grouped_pairs(df, "user_id", "item_id", "rating", tile=4, first=F.col("rating") > 2)) == want
+    assert rows(grouped_pairs(df, "user_id", "item_id", "rating", first=F.col("rating") > 2)) == want
+
+
+def test_bpr_draws_are_unrated_and_complete(skewed):
+    data, df = skewed
+    rated = {(u, i) for u, i, _ in data}
+    got = factorization.bpr_triples(df, draws=2).collect()
+    assert all((r.user_id, r.pos) in rated and (r.user_id, r.neg) not in rated for r in got)
+    assert len(got) == 2 * sum(u != 0 for u, _ in rated)  # user 0 has rated everything
+
+
+def test_edges_of_users_with_equal_intervals(spark):
+    spans = [(1, u, 0.0, 1.0) for u in range(40)] + [(1, 100, 1.0, 2.0), (1, 101, 1.5, 3.0), (1, 102, 5.0, 5.0)]
+    df = spark.createDataFrame(spans, "item_id bigint, user_id bigint, lo double, hi double")
+    near = {u: {v for _, v, a, b in spans if v != u and a <= hi and b >= lo} for _, u, lo, hi in spans}
+    assert {r.user_id: r.neighbours for r in cofiba.user_edges(df).collect()} == {u: len(v) for u, v in near.items()}

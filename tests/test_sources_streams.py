@@ -1,5 +1,9 @@
 """Readers, writers and streams."""
 
+import os
+import subprocess
+import sys
+
 from pyspark.sql import functions as F
 
 from quillrank.operators import linucb, online_topics, tags
@@ -110,3 +114,30 @@ def test_topic_stream(spark, tmp_path):
     weights = st.stream_topics(stream, 2)
     assert {r.word for r in weights.collect()} == {"aa", "bb", "cc"}
     assert online_topics.infer(docs, weights, 2).count() == 2
+
+
+def test_headed_matrices_with_any_blanks_and_odd_feature_words(spark, tmp_path):
+    headed = text_file(tmp_path, "blanks", "3 3 5\n0 0 5\n1  2 3\n 2\t1\t4.5\n2 2 1 \nbroken\n")
+    assert rows(matrix.read_coo_with_header(spark, headed)) == [(0, 0, 5.0), (1, 2, 3.0), (2, 1, 4.5), (2, 2, 1.0)]
+    odd = text_file(tmp_path, "odd", "1 2:3:0.5 word 4:1\n")
+    got = samples.read_libffm(spark, odd).first().features
+    assert [tuple(f) for f in got] == [(2, 3, 0.5), (None, None, None), (None, 4, 1.0)]
+
+
+def test_queries_run_from_another_folder(tmp_path):
+    """Executors get the package from the driver, wherever that was started."""
+    code = """
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as contract
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4").config(
+    "spark.ui.enabled", "false").getOrCreate()
+assert contract.entry(spark).count() > 0
+assert contract.queries()["textrank_keywords"](spark, "/root/testdata/sf0.001").count() > 0
+print("done")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("SPARK")}
+    run = subprocess.run([sys.executable, "-c", code.format(root=root)], cwd=tmp_path, env=clean, capture_output=True,
+                         text=True, timeout=600)
+    assert "done" in run.stdout, run.stderr[-2000:]
