@@ -156,15 +156,45 @@ def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def linkable(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(key, id, size, component, u, n): members of buckets without those that no other member can be similar to.
+
+    A document shares at most those shingles with another that more than one member holds: u of its n. With a
+    document of m shingles its similarity is u / (n + m - u) at most, and m is at least the smallest of its bucket.
+    Copies with many edits of their own and documents around a common passage leave here; no link is lost.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in steps(batches):
+            data = LOWERED[data]
+            starts, ends, bounds = spans(data, offsets)
+            window, _ = windows(fingerprints(data, starts, ends), bounds, s.words)
+            sets = [np.unique(window[a:max(a, b - s.words + 1)]) for a, b in zip(bounds, bounds[1:])]
+            sizes = np.array([len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(np.repeat(np.arange(len(batch)), sizes))),
+                 pa.array(np.concatenate(sets).view(np.int64))], ["id", "shingle"])
+
+    ids = members.select("id").distinct()
+    held = saved(texts.join(ids, "id").mapInArrow(run, "id bigint, shingle bigint"), "near-shingles")
+    often = saved(held.groupBy("shingle").agg(F.count("*").alias("holders")).filter("holders > 1"), "near-often")
+    shared = join_sized(held, often, ["shingle"], "holders", held.count()).groupBy("id").agg(F.count("*").alias("u"))
+    own = held.groupBy("id").agg(F.count("*").alias("n"))
+    sized = members.join(own.join(shared, "id"), "id")
+    least = sized.groupBy("key").agg(F.min("n").alias("m"))
+    return (sized.join(least, "key").filter(100 * F.col("u") >= s.similarity * (F.col("n") + F.col("m") - F.col("u")))
+            .drop("m"))
+
+
 def near_links(sketch: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """Confirmed links (a, b) between the given sketches that connect all that similar pairs would connect.
 
     In the first round each band bucket compares its members with its smallest id, which settles groups of copies
     with a row a member. Where a bucket still holds several components, further rounds compare a growing share of
     its members (pivots, chosen by a hash) with all members of other components, until each pair of members is
-    compared or connected. No bucket is capped, and none is gathered in one task.
+    compared, connected or ruled out by the shingles that they can share. No bucket is capped, and none is gathered
+    in one task.
     """
-    members = sketch.select("id", F.explode("keys").alias("key"))
+    members = sketch.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = saved(members.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size"))
                     .filter("size > 1"), "near-buckets")
     members = saved(join_sized(members, buckets, ["key"], "size", s.bands * sketch.count()), "near-members")
@@ -175,23 +205,34 @@ def near_links(sketch: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
         alive = saved(bayes_survivors(saved(pairs.distinct(), "near-pairs"), sketch, s), "near-survivors")
         return saved(confirmed(alive, texts, s), "near-links")
 
+    def mixed(members: DataFrame) -> DataFrame:
+        """The members of buckets with several components, with theirs."""
+        label = connected_components(found, u="a", v="b").toDF("id", "component")
+        own = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        several = own.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+        return saved(own.join(several.select("key"), "key"), "near-mixed")
+
     found = links(members.filter("pivot < id").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-    members = members.filter("size > 2").select("key", "id", "size")
+    members = mixed(members.filter("size > 2").select("key", "band", "id", "size"))
+    if members.isEmpty():
+        return found
+    members = saved(linkable(members, texts, s).join(sketch.select("id", "keys"), "id"), "near-linkable").drop("component")
     # a member is a pivot of round r if its place, a hash times the bucket's size, is below growth**r
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("size")
     low, high = 0.0, float(s.growth)
     while True:
-        label = connected_components(found, u="a", v="b").toDF("id", "component")
-        open_ = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = open_.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-        members = saved(open_.join(mixed.select("key"), "key").filter(place >= low), "near-open")
+        members = mixed(members.filter(place >= low))
         if members.filter(F.col("size") > low).isEmpty():
             return found
-        pivots = members.filter(place < high).select("key", F.col("id").alias("p"), F.col("component").alias("cp"))
-        # a pivot meets the members that are no pivots, and the later one of two pivots meets the earlier
-        pairs = (pivots.join(members, "key").filter((F.col("cp") != F.col("component"))
-                                                    & ((place >= high) | (F.col("p") < F.col("id"))))
-                 .select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")))
+        pivot = members.filter(place < high).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "component", "u", "n", "keys")))
+        least = F.least("u", "p_u")
+        # a pivot meets the members that are no pivots, and of two pivots the earlier meets the later; pairs meet in
+        # the first band that they share, and only if their shared shingles may be enough
+        pairs = (pivot.join(members, "key").filter(
+            (F.col("p_component") != F.col("component")) & ((place >= high) | (F.col("p_id") < F.col("id")))
+            & (100 * least >= s.similarity * (F.col("n") + F.col("p_n") - least))
+            & (F.array_position(F.zip_with("keys", "p_keys", lambda x, y: x == y), True) == F.col("band") + 1))
+            .select(F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")))
         found = saved(found.unionByName(links(pairs)), "near-found")
         members = members.drop("component")
         low, high = high, high * s.growth
