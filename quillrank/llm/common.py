@@ -51,7 +51,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by :func:`saved` that nothing will read any more."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def join_sized(left: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int,

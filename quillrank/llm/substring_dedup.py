@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_id, documents, join_sized, marked, saved
+from .common import discard, doc_id, documents, join_sized, rows, saved
 from .words import fingerprints, mix, powers, spans, steps
 
 #: Rounds of recompression. After two, a symbol spans up to four words (runs apart) and its form depends on three
@@ -163,6 +163,11 @@ def _least(name: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         span *= 2
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """(id, mark, text); ``mark``, a short hash of the text, tells texts apart that share a doc_id."""
+    return rows(docs).select("id", F.hash("text").alias("mark"), "text")
+
+
 def symbol_table(docs: DataFrame, size: int) -> DataFrame:
     """(id, mark, words, keys, first, length) of each text of at least ``size`` words: its anchors' stretches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,37 +187,33 @@ def symbol_table(docs: DataFrame, size: int) -> DataFrame:
                 [picked.column("id"), picked.column("mark"), pa.array(digests, pa.binary()), *lists],
                 ["id", "mark", "words", "keys", "first", "length"])
 
-    return marked(docs).mapInArrow(
-        run, "id bigint, mark binary, words binary, keys array<bigint>, first array<int>, length array<int>")
+    return placed(docs).mapInArrow(
+        run, "id bigint, mark int, words binary, keys array<bigint>, first array<int>, length array<int>")
+
 
+def content_table(docs: DataFrame, stretches: DataFrame, size: int) -> DataFrame:
+    """(key, content, id, mark, first, length, windows) of the given stretches of each text.
 
-def window_table(docs: DataFrame, stretches: DataFrame, size: int) -> DataFrame:
-    """(id, mark, pos, key, check): fingerprints of the windows in the given stretches, one row for each different
-    window of a text. Later places of a window in its own text come with a null key."""
+    ``content`` is the fingerprint of all words of the stretch, ``windows`` has those of its windows, 8 bytes each.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in steps(batches):
             starts, ends, bounds = spans(data, offsets)
-            codes = fingerprints(data, starts, ends)
-            sums = sums_of(codes)
+            sums = sums_of(fingerprints(data, starts, ends))
             row, first, length, key = _stretches_of(batch)
-            order = np.lexsort((first, row))
-            row, first, length, key = row[order], first[order], length[order], key[order]
-            total = np.cumsum(length)
-            pos = np.repeat(first - (total - length), length) + np.arange(total[-1] if len(total) else 0)
-            text, anchor = np.repeat(row, length), np.repeat(key, length)
-            place = pos + bounds[text]
-            code = between(sums, place, place + size)
-            order = np.lexsort((pos, code, text))
-            again = np.zeros(len(pos), bool)
-            again[order[1:]] = (code[order[1:]] == code[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
-            check = (mix(code ^ anchor.view(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            picked = batch.select(["id", "mark"]).take(pa.array(text))
+            place, total = first + bounds[row], np.r_[0, np.cumsum(length)]
+            start = np.repeat(place - total[:-1], length) + np.arange(total[-1])
+            raw = between(sums, start, start + size).tobytes()
+            windows = [raw[8 * a:8 * b] for a, b in zip(total[:-1].tolist(), total[1:].tolist())]
+            content = between(sums, place, place + length + size - 1)
+            picked = batch.select(["id", "mark"]).take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [picked.column("id"), picked.column("mark"), pa.array(pos.astype(np.int32)),
-                 pa.array(code.view(np.int64), mask=again), pa.array(check, mask=again)], ["id", "mark", "pos", "key", "check"])
+                [pa.array(key), pa.array(content.view(np.int64)), picked.column("id"), picked.column("mark"),
+                 pa.array(first.astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(windows, pa.binary())],
+                ["key", "content", "id", "mark", "first", "length", "windows"])
 
-    both = marked(docs).join(stretches, ["id", "mark"]).select("id", "mark", "text", "stretches")
-    return both.mapInArrow(run, "id bigint, mark binary, pos int, key bigint, check int")
+    both = placed(docs).join(stretches, ["id", "mark"]).select("id", "mark", "text", "stretches")
+    return both.mapInArrow(run, "key bigint, content bigint, id bigint, mark int, first int, length int, windows binary")
 
 
 def _stretches_of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -222,6 +223,23 @@ def _stretches_of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return (row, *(flat.field(n).to_numpy().astype(np.int64) for n in ("first", "length", "key")))
 
 
+def first_places(contents: DataFrame) -> DataFrame:
+    """(key, content, firsts): where each window of the given contents stands first, in the order of the windows.
+
+    Only for anchors with several contents: a window that stands twice has one anchor, so with one content its
+    first place follows from the content's.
+    """
+    size = F.octet_length("windows")
+    codes = F.transform(F.sequence(F.lit(1), (size / 8).cast("int")), lambda k: F.substring("windows", k * 8 - 7, F.lit(8)))
+    flat = contents.select("key", "content", "owner", F.posexplode(codes).alias("k", "code"))
+    here = F.struct(F.col("owner.id").alias("id"), F.col("owner.mark").alias("mark"), (F.col("owner.first") + F.col("k")).alias("first"))
+    flat = saved(flat.select("key", "content", "k", "code", here.alias("here")), "repeat-windows")
+    least = flat.groupBy("key", "code").agg(F.min("here").alias("here"))
+    return (flat.drop("here").join(least, ["key", "code"]).groupBy("key", "content")
+            .agg(F.array_sort(F.collect_list(F.struct("k", "here"))).alias("w"))
+            .select("key", "content", F.col("w.here").alias("firsts")))
+
+
 def kept_texts(docs: DataFrame, gone: DataFrame, size: int) -> DataFrame:
     """(id, n_words, n_removed, kept) of each row; ``gone`` has the covering windows of a text, or all of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +264,7 @@ def kept_texts(docs: DataFrame, gone: DataFrame, size: int) -> DataFrame:
                 [batch.column("id"), pa.array(n), pa.array(n - np.diff(at)), pa.array(texts, pa.binary()).cast(pa.string())],
                 ["id", "n_words", "n_removed", "kept"])
 
-    both = marked(docs).join(gone, ["id", "mark"], "left").select(
+    both = placed(docs).join(gone, ["id", "mark"], "left").select(
         "id", "text", F.coalesce("pos", F.array().cast("array<int>")).alias("pos"),
         F.coalesce("whole", F.lit(False)).alias("whole"))
     return both.mapInArrow(run, "id bigint, n_words bigint, n_removed bigint, kept string")
@@ -257,34 +275,50 @@ def substring_dedup(docs: DataFrame, size: int = 20) -> DataFrame:
 
     A word goes if a window of ``size`` words that covers it also starts earlier: in a smaller doc_id, or before in
     the same document. Windows are judged on the input. ``kept`` joins the words that stay by single spaces. Null
-    and empty texts have no words. Rows with one doc_id are one document and never remove each other's words; a
-    null doc_id counts as the largest; an empty table gives an empty result; other columns are ignored.
+    and empty texts have no words. Equal rows are one document; texts that differ under one doc_id are
+    compared in the order of a hash. A null doc_id counts as the largest; an empty table gives an empty result; other columns are ignored.
 
     1. Recompression names runs and pairs of words; each stretch of windows is known by an anchor symbol.
     2. Copies of a whole text leave at once, but for the smallest doc_id.
     3. Spark counts anchors; only stretches whose anchor stands elsewhere too go on.
-    4. Their windows are fingerprinted (96 bits) and each is held against its first document.
+    4. Stretches are compared as a whole. Where an anchor has different contents, each window of each content is held
+       against the first place that it has in any.
+
+    Tables that are no longer needed are deleted on the way.
     """
     table = saved(symbol_table(docs, size), "repeat-symbols")
     total = table.count()
-    groups = saved(table.groupBy("words").agg(F.min("id").alias("owner"), F.count("*").alias("rows"))
+    groups = saved(table.groupBy("words").agg(F.min(F.struct("id", "mark")).alias("owner"), F.count("*").alias("rows"))
                    .filter("rows > 1"), "repeat-copies")
     whole = saved(join_sized(table.select("id", "mark", "words"), groups, ["words"], "rows", total)
-                  .filter("id <> owner").select("id", "mark").distinct(), "repeat-whole")
-    single = table.join(whole, ["id", "mark"], "left_anti").drop("words")
-    flat = saved(single.dropDuplicates(["id", "mark"]).select("id", "mark", F.inline(F.arrays_zip("keys", "first", "length")))
+                  .filter("id <> owner.id").select("id", "mark").distinct(), "repeat-whole")
+    single = table.join(whole, ["id", "mark"], "left_anti").drop("words").dropDuplicates(["id", "mark"])
+    flat = saved(single.select("id", "mark", F.inline(F.arrays_zip("keys", "first", "length")))
                  .withColumnRenamed("keys", "key"), "repeat-anchors")
+    discard(table, groups)
     # an anchor twice in one text counts too: rows are counted, not documents
     common = saved(flat.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1"), "repeat-common")
-    part = join_sized(flat, common, ["key"], "rows", flat.count())
-    stretches = part.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "length", "key")).alias("stretches"))
-    windows = saved(window_table(docs, stretches, size), "repeat-windows")
-    known = windows.filter("key is not null")
-    firsts = saved(known.groupBy("key", "check").agg(F.min("id").alias("owner"), F.count("*").alias("rows"))
-                   .filter("rows > 1"), "repeat-firsts")
-    later = (join_sized(known, firsts, ["key", "check"], "rows", known.count()).filter("owner < id").select("id", "mark", "pos")
-             .unionByName(windows.filter("key is null").select("id", "mark", "pos")))
-    gone = (later.groupBy("id", "mark").agg(F.collect_list("pos").alias("pos")).withColumn("whole", F.lit(False))
+    part = saved(join_sized(flat, common, ["key"], "rows", flat.count()).groupBy("id", "mark").agg(
+        F.collect_list(F.struct("first", "length", "key")).alias("stretches")), "repeat-stretches")
+    discard(flat, common)
+    found = saved(content_table(docs, part, size), "repeat-contents")
+    discard(part)
+    contents = saved(found.groupBy("key", "content").agg(
+        F.min(F.struct("id", "mark", "first")).alias("owner"), F.count("*").alias("rows"),
+        F.min("windows").alias("windows")), "repeat-owners")
+    several = contents.groupBy("key").agg(F.count("*").alias("contents")).filter("contents > 1").select("key")
+    firsts = first_places(contents.join(several, "key"))
+    settled = saved(contents.select("key", "content", "owner", "rows").join(firsts, ["key", "content"], "left"), "repeat-firsts")
+    here = lambda k: F.struct("id", "mark", (F.col("first") + k).alias("first"))
+    places = F.sequence(F.lit(0), F.col("length") - 1)
+    gone = F.when(F.col("firsts").isNull(), F.when(F.col("owner") < here(F.lit(0)), places)).otherwise(
+        F.filter(places, lambda k: F.get("firsts", k) < here(k)))
+    later = (join_sized(found.drop("windows"), settled, ["key", "content"], "rows", found.count())
+             .select("id", "mark", F.transform(gone, lambda k: F.col("first") + k).alias("pos")).filter(F.size("pos") > 0)
+             .groupBy("id", "mark").agg(F.flatten(F.collect_list("pos")).alias("pos")))
+    later = saved(later, "repeat-gone")
+    discard(found, contents, settled)
+    gone = (later.withColumn("whole", F.lit(False))
             .unionByName(whole.withColumn("pos", F.array().cast("array<int>")).withColumn("whole", F.lit(True))))
     return kept_texts(docs, gone, size).select(doc_id(), "n_words", "n_removed", "kept")
 
