@@ -188,9 +188,10 @@ def linkable(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 def near_links(sketch: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """Confirmed links (a, b) between the given sketches that connect all that similar pairs would connect.
 
-    In the first round each band bucket compares its members with its smallest id, which settles groups of copies
-    with a row a member. Where a bucket still holds several components, further rounds compare a growing share of
-    its members (pivots, chosen by a hash) with all members of other components, until each pair of members is
+    The smallest id of a band bucket is its first pivot. In the first round each member meets the smallest pivot of
+    its buckets, which settles groups of copies with one row a member; in the second it meets the pivots of buckets
+    that still hold several components. Where they do after that, further rounds compare a growing share of
+    the members (pivots, chosen by a hash) with all members of other components, until each pair of members is
     compared, connected or ruled out by the shingles that they can share. No bucket is capped, and none is gathered
     in one task.
     """
@@ -212,7 +213,15 @@ def near_links(sketch: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
         several = own.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
         return saved(own.join(several.select("key"), "key"), "near-mixed")
 
-    found = links(members.filter("pivot < id").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+    pair = (F.col("pivot").alias("a"), F.col("id").alias("b"))
+    nearest = members.groupBy("id").agg(F.min("pivot").alias("pivot"))
+    found = links(nearest.filter("pivot < id").select(*pair))
+    members = mixed(members.select("key", "band", "id", "size", "pivot"))
+    if members.isEmpty():
+        return found
+    settled = members.filter("id = pivot").select("key", F.col("component").alias("p_component"))
+    rest = members.join(settled, "key").filter("p_component <> component").select(*pair)
+    found = saved(found.unionByName(links(rest)), "near-found")
     members = mixed(members.filter("size > 2").select("key", "band", "id", "size"))
     if members.isEmpty():
         return found
