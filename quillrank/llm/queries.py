@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, quality_model,
-               quality_rules, substring_dedup)
+from . import (bpe, collocations, exact_dedup, importance, language_id, license_scan, line_dedup, mixing, near_dedup,
+               pii, quality_model, quality_rules, substring_dedup)
 
 QUERIES = {
     "op1_near_dedup": near_dedup.query,
@@ -16,9 +16,14 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_substring_dedup": substring_dedup.query,
     "op10_line_dedup": line_dedup.query,
+    "op11_importance": importance.query,
+    "op12_pii": pii.query,
+    "op13_collocations": collocations.query,
 }
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op11_importance": importance.SQL,
+    "op13_collocations": collocations.SQL,
 }

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quillrank.llm import (bpe, exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, quality_model,
-                           quality_rules, substring_dedup)
+from quillrank.llm import (bpe, collocations, exact_dedup, importance, language_id, license_scan, line_dedup, mixing,
+                           near_dedup, pii, quality_model, quality_rules, substring_dedup)
 
 from . import brute
 
@@ -37,6 +37,8 @@ OPERATORS = {
     "licenses": lambda d: license_scan.license_scan(d).drop("spans"), "mix": mixing.mix,
     "language": lambda d: language_id.identify(d, F.lit(True)),
     "accepted": lambda d: language_id.accepted(d, F.lit(True)),
+    "pii": pii.find_pii, "redact": pii.redact,
+    "importance": lambda d: importance.resample(d, d).drop("rank"),
     "quality": lambda d: quality_model.quality(d, d.select("doc_id", F.lit(1).alias("label")).filter("doc_id < 9")),
 }
 
@@ -68,6 +70,10 @@ def test_values(spark):
         d: brute.phrases(t) for d, t in plain}
     assert take(quality_rules.quality_rules(docs), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                 "base_failed") == {d: brute.figures(t) for d, t in plain}
+    assert take(importance.resample(docs, docs.filter("doc_id > 7")), "n_features", "weight", "score", "rank") == brute.importance(
+        plain, [t for d, t in plain if d > 7])
+    assert {d: [(x.start, x.kind, x.end) for x in spans] for d, (spans,) in take(pii.find_pii(docs), "base").items()} == {
+        d: [(a, kind, b) for a, _, kind, b in brute.pii(t)] for d, t in plain}
     assert take(language_id.identify(docs, F.lit(True)), "lang_pred")[20] == ("und",)
     assert {r.doc_id for r in language_id.accepted(docs, F.lit(True)).collect()} == {
         d for d, t in plain if t and any(map(str.isalpha, t))}
@@ -81,3 +87,24 @@ def test_null_id_is_the_largest(spark):
     assert gone[None] == 30 and gone[8] == 0 and gone[9] == 30
     kept = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.exact_duplicates(docs).collect()}
     assert kept[None] == (8, False)
+
+
+def test_ranks_of_repeated_rows_and_null_ids(spark):
+    """Repeated rows are documents of their own; an empty target is no target at all."""
+    docs = twice(spark)
+    got = importance.resample(docs, docs.limit(0), importance.Settings(percent=100)).collect()
+    ranked = sorted((r["rank"], -r.score, r.doc_id) for r in got if r["rank"])
+    assert [x[0] for x in ranked] == list(range(1, 1 + sum(r.n_words >= 20 for r in got)))
+    assert [x[1] for x in ranked] == sorted(x[1] for x in ranked)
+    picked = importance.drawn(docs, importance.resample(docs, docs, importance.Settings(percent=100)))
+    assert picked.filter("doc_id is null").count() == 1 and picked.count() == len(ranked)
+
+
+def test_collocations_of_odd_tables(spark):
+    """Null languages are one language, null texts are empty, every repeated row counts."""
+    docs = twice(spark)
+    few = collocations.Settings(least=2, flush=500, part_bytes=50_000)
+    got = sorted(tuple(r) for r in collocations.collocations(docs, few).collect())
+    assert got == brute.collocations([(r.lang, r.text) for r in docs.collect()], least=2)
+    assert collocations.collocations(docs.filter("doc_id < 0"), few).collect() == []
+    assert collocations.collocations(docs.filter("doc_id < 4"), few).collect() == []
