@@ -44,12 +44,16 @@ def split_point(samples: DataFrame, key: str, rate: float = 0.8):
     return split.filter("part = 'train'").agg(F.max(key)).first()[0]
 
 
+def batch_draw(key, epoch, seed: str = "mb") -> Column:
+    """An integer that deals samples to the batches of an epoch; from md5, so that other engines agree."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), epoch, key)), 1, 8), 16, 10).cast("bigint")
+
+
 def minibatches(samples: DataFrame, key: str, batch: int, epochs: int = 1, seed: str = "mb") -> DataFrame:
     """(key, epoch, batch): an independent even assignment in every epoch."""
     n = F.ceil(samples.agg(F.count("*")).scalar() / batch)
     rows = samples.select(key, F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"))
-    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "epoch", key)), 1, 8), 16, 10).cast("bigint")
-    return rows.withColumn("batch", F.pmod(draw, n))
+    return rows.withColumn("batch", F.pmod(batch_draw(F.col(key), F.col("epoch"), seed), n))
 
 
 def fm_score(features: DataFrame, weights: DataFrame, k: int, bias: float = 0.0) -> DataFrame:

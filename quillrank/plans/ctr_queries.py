@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.columns import logistic_loss, out, uniform
@@ -170,20 +169,99 @@ def deepfm_forward(spark, sf):
     def u(*key):
         return int(hashlib.md5(":".join(map(str, key)).encode()).hexdigest()[:8], 16) / 2 ** 32 - 0.5
 
-    ids = 1000 * fx.FIELDS
-    shape = Shape(features=ids, fields=fx.FIELDS, k=2, fm=True, layers=(HIDDEN,))
-    params = {"bias": np.zeros(1), "w": np.array([u("w", f) for f in range(ids)]),
-              "v": np.array([[u("v", k, f) for k in (0, 1)] for f in range(ids)]),
-              "W0": np.array([[u("d", h, f, k) for h in range(HIDDEN)] for f in range(fx.FIELDS) for k in (0, 1)]),
-              "c0": np.zeros(HIDDEN), "W1": np.array([[u("o", h)] for h in range(HIDDEN)]), "c1": np.zeros(1)}
-    rows = (fx.features(spark, sf).groupBy("sample_id", "label")
-            .agg(F.array_sort(F.collect_list(F.struct("field", "feature", "value"))).alias("f"))
-            .select("sample_id", "label", F.col("f.feature").alias("idx"), F.col("f.value").alias("val")))
-    scored = trainer.score(rows, params, shape)
+    feats = fx.features(spark, sf)
+    shape = Shape(features=1000 * fx.FIELDS, fields=fx.FIELDS, k=2, fm=True, layers=(HIDDEN,))
+    dense = [("bias", 0, [0.0]), ("c0", 0, [0.0] * HIDDEN), ("c1", 0, [0.0]), *(("W1", h, [u("o", h)]) for h in range(HIDDEN))]
+    dense += [("W0", 2 * f + k, [u("d", h, f, k) for h in range(HIDDEN)]) for f in range(fx.FIELDS) for k in (0, 1)]
+    rows = feature_rows(weights(feats)).unionByName(spark.createDataFrame(dense, "name string, key bigint, values array<double>"))
+    scored = trainer.score(in_rows(feats), trainer.Model.of(rows, shape))
     return scored.select("sample_id", out(F.col("logit")).alias("logit"),
                          F.round("probability", 6).alias("probability"))
 
 
+def in_rows(feats):
+    """One row a sample, with its features in the order of the fields."""
+    return (feats.groupBy("sample_id", "label").agg(F.array_sort(F.collect_list(F.struct("field", "feature", "value"))).alias("f"))
+            .select("sample_id", "label", F.col("f.feature").alias("idx"), F.col("f.value").alias("val")))
+
+
+def feature_rows(params):
+    """Rows of a parameter table from (feature, w, v)."""
+    return params.select(F.lit("f").alias("name"), F.col("feature").cast("bigint").alias("key"),
+                         F.concat(F.array("w"), "v").alias("values"))
+
+
+def adam_sql(first: str, second: str) -> str:
+    """Two steps of Adam on the factorisation machine, each on the samples that its condition names."""
+    def gradient(params: str, bias: str, which: str, name: str) -> str:
+        return f"""
+{name}_s as materialized (
+  select sample_id, any_value(label) as label, sum(v0*value) s0, sum(v1*value) s1,
+    (select b from {bias}) + sum(w*value) + 0.5*(power(sum(v0*value), 2) - sum(v0*v0*value*value)
+      + power(sum(v1*value), 2) - sum(v1*v1*value*value)) score
+  from feats join {params} using (feature) where {which} group by 1),
+{name}_d as materialized (select *, 1/(1 + exp(-score)) - label d, count(*) over () n from {name}_s),
+{name} as materialized (
+  select feature, sum(d*value/n) g, sum(d*value*(s0 - v0*value)/n) g0, sum(d*value*(s1 - v1*value)/n) g1
+  from feats join {name}_d using (sample_id) join {params} using (feature) group by 1),
+{name}_b as materialized (select sum(d/n) gb from {name}_d)"""
+
+    def moved(x: str, old: str, g: str, t: str) -> str:
+        """Update number t with the gradients of the first and the second step, 0 if it is the first update."""
+        m, v = f"(0.832*0.168*{old} + 0.168*{g})", f"(0.987*0.013*power({old}, 2) + 0.013*power({g}, 2))"
+        return f"{x} - 0.05*({m}/(1 - power(0.832, {t}))) / (sqrt({v}/(1 - power(0.987, {t}))) + 1e-8)"
+
+    return f"""with {FEATURES},
+p0 as materialized (
+  select feature, {sql_uniform("'w:'||feature")} - 0.5 w, {sql_uniform("'v:0:'||feature")} - 0.5 v0,
+         {sql_uniform("'v:1:'||feature")} - 0.5 v1 from (select distinct feature from feats)),
+b0 as (select 0.0 b),{gradient("p0", "b0", first, "a")},
+p1 as materialized (
+  select feature, case when g is null then w else {moved("w", "0", "g", "1")} end w,
+         case when g is null then v0 else {moved("v0", "0", "g0", "1")} end v0,
+         case when g is null then v1 else {moved("v1", "0", "g1", "1")} end v1 from p0 left join a using (feature)),
+b1 as materialized (select {moved("0", "0", "gb", "1")} b from a_b),{gradient("p1", "b1", second, "c")},
+p2 as (
+  select feature, case when c.g is null then w else {moved("w", "coalesce(a.g, 0)", "c.g", "(a.g is not null)::int + 1")} end w,
+         case when c.g is null then v0 else {moved("v0", "coalesce(a.g0, 0)", "c.g0", "(a.g is not null)::int + 1")} end v0,
+         case when c.g is null then v1 else {moved("v1", "coalesce(a.g1, 0)", "c.g1", "(a.g is not null)::int + 1")} end v1
+  from p1 left join a using (feature) left join c using (feature))
+select feature::bigint feature, round(w, 6) + 0.0 w, round(v0, 6) + 0.0 v0, round(v1, 6) + 0.0 v1 from p2
+union all select -1, round({moved("(select b from b1)", "(select gb from a_b)", "gb", "2")}, 6) + 0.0, 0.0, 0.0 from c_b"""
+
+
+def fm_rows(model):
+    """(feature, w, v0, v1) of the factorisation machine's features and, as feature -1, its bias."""
+    found = model.rows().filter(F.col("name").isin("f", "bias"))
+    v = F.col("values")
+    return found.select(F.when(F.col("name") == "f", F.col("key")).otherwise(-1).cast("bigint").alias("feature"),
+                        *[out(F.coalesce(F.get(v, F.lit(k)), F.lit(0.0))).alias(n) for k, n in enumerate(("w", "v0", "v1"))])
+
+
+FM_SHAPE = Shape(features=1000 * fx.FIELDS, fields=fx.FIELDS, k=2, fm=True)
+IN_BATCH = "('0x'||substr(md5('mb:1:'||sample_id),1,8))::BIGINT % 2 = {}"
+
+
+@query("fm_minibatch_steps", adam_sql(IN_BATCH.format(0), IN_BATCH.format(1)))
+def fm_minibatch_steps(spark, sf):
+    """One epoch of two minibatches, from parameters given by a formula."""
+    feats = fx.features(spark, sf)
+    rows = in_rows(feats)
+    start = trainer.Model.of(feature_rows(weights(feats)), FM_SHAPE)
+    return fm_rows(trainer.train(rows, FM_SHAPE, batch=-(-rows.count() // 2), chunk=512, start=start))
+
+
+@query("fm_reload_step", adam_sql("true", "true"))
+def fm_reload_step(spark, sf):
+    """A full-batch step, the model saved and loaded, and another step."""
+    feats = fx.features(spark, sf)
+    rows, path = in_rows(feats), scratch_path(spark, "fm")
+    size = rows.count()
+    start = trainer.Model.of(feature_rows(weights(feats)), FM_SHAPE)
+    trainer.train(rows, FM_SHAPE, batch=size, chunk=512, start=start).save(path)
+    return fm_rows(trainer.train(rows, FM_SHAPE, batch=size, chunk=512, start=trainer.Model.load(spark, path)))
+
+
 def fm_logits(spark, sf):
     feats = fx.features(spark, sf)
     label = fx.samples(spark, sf).select("sample_id", "label")
@@ -296,10 +374,11 @@ def encoded(samples):
         F.array(*wide).alias("wide"), F.array(*num).alias("num"))
 
 
-def train_and_measure(spark, sf, shape, steps=12, rate=0.1):
+def train_and_measure(spark, sf, shape, rate=0.1):
+    """Four epochs of minibatches."""
     train, test = parts(spark, sf, encoded(fx.samples(spark, sf)))
-    params, _ = trainer.train(train, shape, steps=steps, rate=rate)
-    return metrics.binary_metrics(trainer.score(test, params, shape))
+    model = trainer.train(train, shape, batch=8192, epochs=4, how=trainer.Adam(rate=rate))
+    return metrics.binary_metrics(trainer.score(test, model))
 
 
 def shape_of(**terms) -> Shape:

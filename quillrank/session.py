@@ -31,6 +31,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """The table written once below the shared folder and read back; ``stored_at`` names the folder."""
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.partitionBy(partition) if partition else df.write
+    writer.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def delete_stored(*tables: DataFrame) -> None:
+    """Deletes tables made by :func:`stored` that nothing will read any more."""
+    for table in tables:
+        path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that an iterative job survives lost executors."""
     shared_dir(df.sparkSession)

@@ -49,17 +49,64 @@ def clicks(spark):
     (Shape(12, 3, k=4, fm=True, layers=(8,), batch_norm=True, dropout=0.1), 0.1),
     (Shape(12, 3, k=4, linear=False, numeric=2, wide=9, layers=(10, 5)), 0.02)])
 def test_training_lowers_loss_and_ranks(spark, clicks, shape, rate):
-    params, losses = trainer.train(clicks, shape, steps=25, rate=rate)
-    assert losses[-1] < losses[0] - 0.05
-    scored = trainer.score(clicks, params, shape)
-    assert scored.filter("probability < 0 or probability > 1").isEmpty()
+    model = trainer.train(clicks, shape, batch=500, epochs=4, how=trainer.Adam(rate=rate))
+    assert model.steps == len(model.losses) >= 12 and np.mean(model.losses[-4:]) < np.mean(model.losses[:4]) - 0.03
+    scored = trainer.score(clicks, model)
+    assert scored.count() == 2000 and scored.filter("probability < 0 or probability > 1").isEmpty()
     values = {r.metric: r.value for r in metrics.binary_metrics(scored).collect()}
     assert values["auc"] > 0.7 and math.isfinite(values["logloss"])
 
 
-def test_too_many_parameters_are_refused(clicks):
-    with pytest.raises(ValueError, match="parameters"):
-        trainer.train(clicks, Shape(10_000_000, 3))
+DEEP = Shape(12, 3, k=3, fm=True, ffm=True, numeric=2, wide=9, layers=(6, 4), batch_norm=True, dropout=0.2, l2=1e-3)
+
+
+def parameters(model):
+    return {(r["name"], r["key"]): (r["n"], tuple(r["values"]), tuple(r["m1"])) for r in model.rows().collect()}
+
+
+def test_models_do_not_depend_on_the_layout(spark, clicks):
+    """Partitions, Arrow batches, shards and compaction change nothing, not even the last bit."""
+    def trained(rows, **more):
+        return parameters(trainer.train(rows, DEEP, batch=700, chunk=128, epochs=1, **more))
+
+    one = trained(clicks.coalesce(1), shards=1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        assert trained(clicks.repartition(7, "label"), shards=5, compact=2) == one
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {n for n, _ in one} >= {"f", "x", "bias", "W0", "W2", "gamma1", "var0"} and len(one) > 30
+
+
+def test_a_saved_model_goes_on_as_if_it_had_not_stopped(spark, clicks, tmp_path):
+    whole = trainer.train(clicks, DEEP, batch=3000, epochs=2, chunk=3000)
+    half = trainer.train(clicks, DEEP, batch=3000, chunk=3000)
+    half.save(str(tmp_path / "model"))
+    again = trainer.Model.load(spark, str(tmp_path / "model"))
+    assert again.shape == DEEP and again.steps == 1 and again.losses == half.losses
+    assert parameters(again) == parameters(half)
+    # one batch holds all samples, so the epochs differ in nothing but their number
+    more = trainer.train(clicks, DEEP, batch=3000, chunk=3000, start=again)
+    assert {k: v[0] for k, v in parameters(more).items()} == {k: v[0] for k, v in parameters(whole).items()}
+    assert parameters(more) == parameters(whole) and parameters(again) == parameters(half)
+    scores = {r.sample_id: r.logit for r in trainer.score(clicks, whole).collect()}
+    assert {r.sample_id: r.logit for r in trainer.score(clicks.repartition(3), more, chunk=100).collect()} == pytest.approx(scores)
+
+
+def test_features_have_no_bound(spark):
+    """Ids beyond any array, seen in training or only in scoring."""
+    shape = Shape(0, 2, k=2, fm=True)
+    rows = spark.range(60).select(F.col("id").alias("sample_id"), (F.col("id") % 2).cast("int").alias("label"),
+                                  F.array(F.col("id") * 10 ** 15, F.lit(-5)).alias("idx"), F.array(F.lit(1.0), F.lit(0.5)).alias("val"))
+    model = trainer.train(rows.filter("sample_id < 40"), shape, batch=16)
+    assert model.rows().filter("name = 'f'").count() == 41
+    assert trainer.score(rows, model).filter("probability between 0 and 1").count() == 60
+
+
+def test_counted_normals():
+    x = network.normals(3, np.arange(20000)[:, None], np.arange(5)[None, :])
+    assert abs(x.mean()) < 0.02 and abs(x.std() - 1) < 0.02 and len(np.unique(x)) == x.size
+    assert np.array_equal(x[17:19, 2], network.normals(3, np.array([17, 18]), 2))
 
 
 @pytest.fixture(scope="module")
