@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import logistic_loss, out, uniform
 from ..functions.network import Shape
 from ..operators import ctr_features as cf
-from ..operators import ctr_models, metrics, trainer
+from ..operators import ctr_models, leaf_trees, metrics, trainer
 from ..session import scratch_path
 from ..sources import samples as src
 from . import fixtures as fx
-from .fixtures import FEATURES, PRIORITIES, SAMPLES, SEGMENTS, sql_uniform
+from .fixtures import FEATURES, PRIORITIES, SAMPLES, SEGMENTS, _list, sql_uniform
 from .registry import query
 
 CATEGORICAL = ["priority", "segment", "nation", "month"]
@@ -359,6 +359,97 @@ def gbdt_lr_sampled(spark, sf):
     return ctr_models.TreesAndLinear(TREE_COLUMNS, sampled=True).fit(train, rows).predict(test)
 
 
+def best_split_sql(name: str, rows: str) -> str:
+    """The best split of the rows' histograms: highest gain, then first column, then lowest bin."""
+    gain = "power(g, 2)/(h + 1) + power(all_g - g, 2)/(all_h - h + 1) - power(all_g, 2)/(all_h + 1)"
+    return f"""
+{name}_h as (select f, bin, sum(g) g, sum(h) h, count(*) n from {rows} group by 1, 2),
+{name}_c as (
+  select f, bin, sum(g) over w g, sum(h) over w h, sum(n) over w n, sum(g) over (partition by f) all_g,
+         sum(h) over (partition by f) all_h, sum(n) over (partition by f) all_n
+  from {name}_h window w as (partition by f order by bin)),
+{name} as materialized (
+  select *, round({gain}, 9) gain from {name}_c where n < all_n order by gain desc, f, bin limit 1)"""
+
+
+TREE_EDGES = {"priority_no": [2, 3, 4, 5], "segment_no": [2, 3, 4, 5], "nation": list(range(1, 25)), "month": list(range(2, 13)),
+              "price": PRICE_STEPS, "balance": [0, 2500, 5000, 7500]}
+ONE_TREE = f"""{SAMPLES},
+numbered as (
+  select sample_id, label, list_position({_list(PRIORITIES)}, priority) priority_no, list_position({_list(SEGMENTS)}, segment) segment_no,
+         nation, "month", price, balance from samples),
+prior as (select ln(avg(label)/(1 - avg(label))) f0, avg(label) p from samples),
+cells as materialized (
+  select sample_id, f, bin, label - p g, p*(1 - p) h
+  from (select sample_id, label, unnest([{", ".join(f"struct_pack(f := {k}, bin := " + " + ".join(f"({c} >= {e})::int" for e in edges) + ")" for k, (c, edges) in enumerate(TREE_EDGES.items()))}], recursive := true)
+        from numbered) cross join prior),
+{best_split_sql("root", "cells").strip()},
+side as materialized (
+  select sample_id, cells.bin <= root.bin as low from cells join root using (f)),
+low_cells as materialized (select cells.* from cells join side using (sample_id) where low),
+high_cells as materialized (select cells.* from cells join side using (sample_id) where not low),{best_split_sql("lows", "low_cells")},{best_split_sql("highs", "high_cells")},
+second as materialized (
+  select * from (select 1 node, lows.* from lows union all select 2, highs.* from highs) where gain > 0 order by gain desc, node limit 1),
+leaf as materialized (
+  select sample_id, case when node = 1 and low and not inner_low then 4 when node = 1 and low then 3
+                         when node = 2 and not low and not inner_low then 4 when node = 2 and not low then 3
+                         when low then 1 else 2 end node
+  from side join (select sample_id, cells.bin <= second.bin inner_low, node from cells join second using (f)) using (sample_id)),
+leaves as materialized (
+  select node, row_number() over (order by node) - 1 leaf, count(*) n, sum(label - p)/(sum(p*(1 - p)) + 1) val
+  from leaf join samples using (sample_id) cross join prior group by 1)"""
+
+
+@query("leaf_tree", f"""with {ONE_TREE},
+names as (select unnest({_list(TREE_EDGES)}) "name", unnest(range({len(TREE_EDGES)})) f)
+select 0::int node, "name" feature, root.bin::int bin, all_n::bigint n, 0.0 "value" from root join names using (f)
+union all select node::int, "name", second.bin::int, all_n::bigint, 0.0 from second join names using (f)
+union all select node::int, 'leaf', leaf::int, n, round(val, 6) from leaves""")
+def leaf_tree(spark, sf):
+    """The nodes of one tree of three leaves, on given bins."""
+    tree = one_tree(spark, sf).table(spark)
+    return tree.select("node", F.coalesce("feature", F.lit("leaf")).alias("feature"), F.coalesce("bin", "leaf").alias("bin"),
+                       "n", F.coalesce(out(F.col("value")), F.lit(0.0)).alias("value"))
+
+
+@query("leaf_tree_scores", f"""with {ONE_TREE}
+select sample_id, leaf::int leaf, round(f0 + 0.08*val, 6) logit, round(1/(1 + exp(-(f0 + 0.08*val))), 6) probability
+from leaf join leaves using (node) cross join prior""")
+def leaf_tree_scores(spark, sf):
+    """Leaf, logit and probability of each sample under that tree."""
+    booster, rows = one_tree(spark, sf), numbers(fx.samples(spark, sf))
+    found = booster.predict(booster.leaves(rows), ("sample_id", "leaf0"))
+    return found.select("sample_id", F.col("leaf0").alias("leaf"), out(F.col("logit")).alias("logit"),
+                        F.round("probability", 6).alias("probability"))
+
+
+def one_tree(spark, sf):
+    how = leaf_trees.Growth(trees=1)
+    return leaf_trees.boost(numbers(fx.samples(spark, sf)), list(TREE_EDGES), how, edges=list(TREE_EDGES.values()))
+
+
+@query("leaf_gbdt")
+def leaf_gbdt(spark, sf):
+    """Classes and probabilities of six trees of three leaves."""
+    train, test = parts(spark, sf, numbers(fx.samples(spark, sf)))
+    return leaf_trees.boost(train, TREE_COLUMNS).predict(test)
+
+
+@query("leaf_gbdt_lr")
+def leaf_gbdt_lr(spark, sf):
+    rows = numbers(fx.samples(spark, sf))
+    train, test = parts(spark, sf, rows)
+    return leaf_trees.LeavesAndLinear(TREE_COLUMNS).fit(train, rows).predict(test)
+
+
+@query("leaf_gbdt_lr_sampled")
+def leaf_gbdt_lr_sampled(spark, sf):
+    """Trees that see nine tenths of the rows and half of the columns."""
+    rows = numbers(fx.samples(spark, sf))
+    train, test = parts(spark, sf, rows)
+    return leaf_trees.LeavesAndLinear(TREE_COLUMNS, leaf_trees.sampled()).fit(train, rows).predict(test)
+
+
 BUCKETS = 64
 
 
