@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.columns import out
-from ..operators import keywords, tags, topics, vectors
+from ..operators import ivf, keywords, tags, topics, vectors
 from ..session import cut_lineage, scratch_path
 from ..sources import corpus
 from . import fixtures as fx
@@ -230,6 +230,34 @@ def embedding_knn(spark, sf):
     return vectors.nearest(vecs, vecs)
 
 
+def vectors_and_queries(spark, sf):
+    """All vectors, and every twentieth as a query."""
+    vecs = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    return vecs, vecs.filter("id % 20 = 0")
+
+
+@query("ivf_neighbours")
+def ivf_neighbours(spark, sf):
+    """Ten neighbours of every twentieth vector out of the probed lists, as many as the measured recall asks for."""
+    vecs, queries = vectors_and_queries(spark, sf)
+    index = ivf.build(vecs)
+    return ivf.search(index, queries, probes=ivf.probes_for(index))
+
+
+@query("ivf_all_lists", """with n as materialized (
+  select vec_id id, list_transform(embedding, lambda v: v::double / sqrt(list_inner_product(embedding::double[], embedding::double[]))) e
+  from embeddings),
+ranked as (
+  select *, row_number() over (partition by id order by sim desc, neighbour)::int as "rank" from (
+    select a.id, b.id neighbour, round(list_inner_product(a.e, b.e), 6) sim from n a join n b on a.id <> b.id where a.id % 20 = 0))
+select * from ranked where "rank" <= 10""")
+def ivf_all_lists(spark, sf):
+    """The same search with all lists probed and all entries ranked again: the exact neighbours."""
+    vecs, queries = vectors_and_queries(spark, sf)
+    index = ivf.build(vecs, lists=12, parts=8, words=16)
+    return ivf.search(index, queries, probes=12, rerank=1 << 30, limit=100)
+
+
 @query("word2vec_vectors")
 def word2vec_vectors(spark, sf):
     lines = corpus.sentences(fx.docs(spark, sf))
