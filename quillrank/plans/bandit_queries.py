@@ -8,7 +8,7 @@ from ..functions.columns import out
 from ..operators import bandit, cofiba, graph, linucb, metrics, vectors
 from ..session import cut_lineage
 from . import fixtures as fx
-from .fixtures import ITEM_PULLS, PULLS, SCORED, VECTOR_PULLS, sql_uniform
+from .fixtures import ITEM_PULLS, PULLS, SCORED, VECTOR_PULLS, WIDTH, sql_uniform
 from .registry import query
 
 
@@ -117,65 +117,89 @@ def cumulative_regret_by_user(spark, sf):
     return _regret(bandit.cumulative_regret(fx.pulls(spark, sf), keys=("user_id",)))
 
 
-def ridge_sql(name: str, key: str, source: str, ridge: float, r: str) -> str:
+def cells_sql(name: str, key: str, source: str, ridge: float, r: str) -> str:
+    """(key, n, i, j, a, b): cells of A = ridge I + sum of x x', and b = sum of r x beside each row i."""
     return f"""{name} as materialized (
-  select {key}, count(*) n, {ridge}::double + sum(x1*x1) a11, sum(x1*x2) a12, {ridge}::double + sum(x2*x2) a22,
-         sum(x1*{r}) b1, sum(x2*{r}) b2 from {source} group by {key})"""
+  select {key}, count(*) n, i, j, (i = j)::int*{ridge}::double + sum(x[i]*x[j]) a, sum(x[i]*{r}) b
+  from {source} cross join (select unnest(range(1, {WIDTH + 1})) i) cross join (select unnest(range(1, {WIDTH + 1})) j)
+  group by {key}, i, j)"""
 
 
-STATE = f"{VECTOR_PULLS},\n" + ridge_sql("state", "arm", "pulls", 1.0, "(case when reward = 1 then 0.8::double else 0 end)")
+def inverse_sql(name: str, keys: str, source: str) -> str:
+    """(keys, m, b, ainv, theta): matrices as lists, inverted by sweeping one row after the other."""
+    return f"""{name}_m as materialized (
+  select {keys}, list(cells order by i) m, list(b order by i) b
+  from (select {keys}, i, list(a order by j) cells, any_value(b) b from {source} group by {keys}, i) group by {keys}),
+{name}_k as (
+  select *, 0 k, m s from {name}_m
+  union all
+  select {keys}, m, b, k + 1, list_transform(s, lambda r, i: case
+      when i = k + 1 then list_transform(r, lambda v, j: case when j = k + 1 then -1/v else v/r[k + 1] end)
+      else list_transform(r, lambda v, j: case when j = k + 1 then v/s[k + 1][k + 1] else v - r[k + 1]*s[k + 1][j]/s[k + 1][k + 1] end) end)
+  from {name}_k where k < {WIDTH}),
+{name} as materialized (
+  select *, list_transform(ainv, lambda r: list_inner_product(r, b)) theta
+  from (select {keys}, m, b, list_transform(s, lambda r: list_transform(r, lambda v: -v)) ainv from {name}_k where k = {WIDTH}))"""
+
+
+QUADRATIC = "list_inner_product(x, list_transform(ainv, lambda r: list_inner_product(r, x)))"
+STATE = f"{VECTOR_PULLS},\n" + cells_sql("state", "arm", "pulls", 1.0, "(case when reward = 1 then 0.8::double else 0 end)")
 
 
 def flat_state(state, key, digits=6):
-    """One column per cell of a two-dimensional state."""
-    def cell(c, i):
-        return out(F.col(c)[i], digits)
-    return state.select(*key, cell("a", 0).alias("a11"), cell("a", 1).alias("a12"), cell("a", 3).alias("a22"),
-                        cell("b", 0).alias("b1"), cell("b", 1).alias("b2"))
+    """A row for each of the components: the diagonal cell of A, the sum of its row, and b."""
+    d = F.sqrt(F.size("a")).cast("int")
+    row = F.transform("b", lambda b, i: F.struct(
+        (i + 1).alias("i"), F.get("a", i * (d + 1)).alias("diagonal"),
+        F.aggregate(F.slice("a", i * d + 1, d), F.lit(0.0), lambda s, v: s + v).alias("row_sum"), b.alias("b")))
+    cells = state.select(*key, F.explode(row).alias("c"))
+    return cells.select(*key, F.col("c.i").cast("bigint").alias("i"), *[out(F.col(f"c.{c}"), digits).alias(c) for c in ("diagonal", "row_sum", "b")])
 
 
-FLAT = ", ".join(f"round({c}, 6) + 0.0 {c}" for c in ("a11", "a12", "a22", "b1", "b2"))
+def flat_sql(keys: str, source: str) -> str:
+    """The same rows from a table of cells."""
+    return f"""select {keys}, i, round(max(case when i = j then a end), 6) + 0.0 diagonal, round(sum(a), 6) + 0.0 row_sum,
+  round(any_value(b), 6) + 0.0 b from {source} group by {keys}, i"""
 
 
-@query("linucb_state", f"with {STATE} select arm, n, {FLAT} from state")
+@query("linucb_state", f"with {STATE} {flat_sql('arm, n', 'state')}")
 def linucb_state(spark, sf):
-    return flat_state(linucb.linucb_state(fx.vector_pulls(spark, sf), 2), ["arm", "n"])
+    return flat_state(linucb.linucb_state(fx.vector_pulls(spark, sf), WIDTH), ["arm", "n"])
 
 
-THETA = """(a22*b1-a12*b2)/(a11*a22-a12*a12) th1, (a11*b2-a12*b1)/(a11*a22-a12*a12) th2,
-  a22/(a11*a22-a12*a12) i11, -a12/(a11*a22-a12*a12) i12, a11/(a11*a22-a12*a12) i22"""
+THETA = f"with recursive {STATE},\n{inverse_sql('solved', 'arm', 'state')}"
 
 
-@query("linucb_theta", f"""with {STATE}
-select arm, round(th1, 6) + 0.0 th1, round(th2, 6) + 0.0 th2 from (select arm, {THETA} from state)""")
+@query("linucb_theta", f"""{THETA}
+select arm, unnest(range(1, {WIDTH + 1})) i, round(unnest(theta), 6) + 0.0 theta from solved""")
 def linucb_theta(spark, sf):
-    theta = linucb.with_theta(linucb.linucb_state(fx.vector_pulls(spark, sf), 2))
-    return theta.select("arm", out(F.col("theta")[0]).alias("th1"), out(F.col("theta")[1]).alias("th2"))
+    theta = linucb.with_theta(linucb.linucb_state(fx.vector_pulls(spark, sf), WIDTH))
+    return theta.select("arm", F.posexplode("theta").alias("i", "theta")).select(
+        "arm", (F.col("i") + 1).cast("bigint").alias("i"), out(F.col("theta")).alias("theta"))
 
 
-@query("linucb_select", f"""with {STATE},
-th as materialized (select arm, {THETA} from state),
-ctx as (select vec_id, embedding[1]::double x1, embedding[2]::double x2 from embeddings),
+@query("linucb_select", f"""{THETA},
 scored as (
-  select vec_id, arm, round(th1*x1+th2*x2 + 0.25*sqrt(x1*x1*i11+2*x1*x2*i12+x2*x2*i22), 6) + 0.0 score from ctx cross join th)
+  select vec_id, arm, round(list_inner_product(theta, x) + 0.25*sqrt({QUADRATIC}), 6) + 0.0 score
+  from (select vec_id, embedding::double[] x from embeddings) cross join solved)
 select vec_id, arm, score from (
   select *, row_number() over (partition by vec_id order by score desc, arm) k from scored) where k = 1""")
 def linucb_select(spark, sf):
-    ctx = fx.table(spark, sf, "embeddings").select(
-        "vec_id", F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double")).alias("x"))
-    return linucb.linucb_select(ctx, "vec_id", linucb.linucb_state(fx.vector_pulls(spark, sf), 2))
+    ctx = fx.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    return linucb.linucb_select(ctx, "vec_id", linucb.linucb_state(fx.vector_pulls(spark, sf), WIDTH))
 
 
 # clustered bandit: items are named by the events, one state per user
 
-COFIBA = f"""{ITEM_PULLS},
-{ridge_sql("ustate", "user_id", "ipulls", 0.1, "reward")},
-items as materialized (select distinct item_id, x1, x2 from ipulls),
-uth as materialized (select user_id, {THETA} from ustate),
+COFIBA_STATE = f"{ITEM_PULLS},\n" + cells_sql("ustate", "user_id", "ipulls", 0.1, "reward")
+
+COFIBA = f"""{COFIBA_STATE},
+items as materialized (select item_id, any_value(x) x from ipulls group by 1),
+{inverse_sql("uth", "user_id", "ustate")},
 spans as materialized (
-  select item_id, user_id, x1, x2, m - w lo, m + w hi, m, w from (
-    select item_id, user_id, x1, x2, th1*x1+th2*x2 m,
-           2.0 * sqrt(x1*x1*i11+2*x1*x2*i12+x2*x2*i22) * sqrt(log10((select count(*) from ipulls) + 1)) w
+  select item_id, user_id, x, m - w lo, m + w hi, m, w from (
+    select item_id, user_id, x, list_inner_product(theta, x) m,
+           2.0 * sqrt({QUADRATIC}) * sqrt(log10((select count(*) from ipulls) + 1)) w
     from uth cross join items))"""
 
 ISLANDS = f"""{COFIBA},
@@ -185,15 +209,15 @@ isl as materialized (
                                             rows between unbounded preceding and 1 preceding) then 0 else 1 end f
     from spans)),
 cstate as materialized (
-  select item_id, "cluster", count(*) users, 0.1 + sum(a11-0.1) a11, sum(a12) a12, 0.1 + sum(a22-0.1) a22, sum(b1) b1, sum(b2) b2
-  from isl join ustate using (user_id) group by 1, 2)"""
+  select item_id, "cluster", count(*) users, i, j, (i = j)::int*0.1 + sum(a - (i = j)::int*0.1) a, sum(b) b
+  from isl join ustate using (user_id) group by item_id, "cluster", i, j)"""
 
 SELECTED = f"""{ISLANDS},
-cth as materialized (select item_id, "cluster", {THETA} from cstate),
-scored as (
-  select user_id, item_id, round(th1*x1+th2*x2 + 0.2*sqrt(x1*x1*i11+2*x1*x2*i12+x2*x2*i22)
-         * sqrt(log10((select count(*) from ipulls) + 1)), 6) + 0.0 score
-  from isl join cth using (item_id, "cluster")),
+{inverse_sql("cth", 'item_id, "cluster"', "cstate")},
+ucb as materialized (
+  select item_id, "cluster", round(list_inner_product(theta, x) + 0.2*sqrt({QUADRATIC})
+         * sqrt(log10((select count(*) from ipulls) + 1)), 6) + 0.0 score from cth join items using (item_id)),
+scored as (select user_id, item_id, score from isl join ucb using (item_id, "cluster")),
 chosen as materialized (
   select user_id, item_id, score from (
     select *, row_number() over (partition by user_id order by score desc, item_id) k from scored) where k = 1)"""
@@ -201,19 +225,19 @@ chosen as materialized (
 
 def cofiba_parts(spark, sf):
     pulls = fx.item_pulls(spark, sf)
-    state = cofiba.user_state(pulls, 2)
-    items = pulls.select("item_id", "x").distinct()
+    state = cut_lineage(cofiba.user_state(pulls, WIDTH))
+    items = pulls.groupBy("item_id").agg(F.first("x").alias("x"))
     trials = pulls.agg(F.count("*")).scalar()
     # several sorted passes read the intervals: write them once
     return state, items, trials, cut_lineage(cofiba.intervals(state, items, trials))
 
 
-@query("cofiba_user_state", f"with {COFIBA} select user_id, n, {FLAT} from ustate")
+@query("cofiba_user_state", f"with {COFIBA_STATE} {flat_sql('user_id, n', 'ustate')}")
 def cofiba_user_state(spark, sf):
-    return flat_state(cofiba.user_state(fx.item_pulls(spark, sf), 2), ["user_id", "n"])
+    return flat_state(cofiba.user_state(fx.item_pulls(spark, sf), WIDTH), ["user_id", "n"])
 
 
-@query("cofiba_user_edges", f"""with {COFIBA}
+@query("cofiba_user_edges", f"""with recursive {COFIBA}
 select a.item_id, a.user_id, sum((a.user_id <> b.user_id and abs(a.m - b.m) <= a.w + b.w)::int)::bigint neighbours
 from spans a join spans b on a.item_id = b.item_id group by 1, 2""")
 def cofiba_user_edges(spark, sf):
@@ -221,25 +245,25 @@ def cofiba_user_edges(spark, sf):
     return cofiba.user_edges(spans).select("item_id", "user_id", F.col("neighbours").cast("bigint").alias("neighbours"))
 
 
-@query("cofiba_cluster_state", f"""with {ISLANDS}
-select item_id, "cluster"::bigint as "cluster", users, {FLAT} from cstate""")
+@query("cofiba_cluster_state", f"""with recursive {ISLANDS}
+{flat_sql('item_id, "cluster"::bigint as "cluster", users', 'cstate').replace('group by item_id, "cluster"::bigint as "cluster", users, i', 'group by item_id, "cluster", users, i')}""")
 def cofiba_cluster_state(spark, sf):
     state, _, _, spans = cofiba_parts(spark, sf)
     clusters = cofiba.user_clusters(spans)
-    return flat_state(cofiba.cluster_state(clusters, state, 2), ["item_id", F.col("cluster").cast("bigint"), "users"])
+    return flat_state(cofiba.cluster_state(clusters, state, WIDTH), ["item_id", "cluster", "users"])
 
 
-@query("cofiba_select", f"with {SELECTED} select * from chosen")
+@query("cofiba_select", f"with recursive {SELECTED} select * from chosen")
 def cofiba_select(spark, sf):
-    state, _, trials, spans = cofiba_parts(spark, sf)
+    state, items, trials, spans = cofiba_parts(spark, sf)
     clusters = cofiba.user_clusters(spans)
-    return cofiba.select_items(clusters, cofiba.cluster_state(clusters, state, 2), trials)
+    return cofiba.select_items(clusters, cofiba.cluster_state(clusters, state, WIDTH), items, trials)
 
 
 def _item_split(spark, sf):
     state, items, trials, spans = cofiba_parts(spark, sf)
     clusters = cofiba.user_clusters(spans)
-    chosen = cofiba.select_items(clusters, cofiba.cluster_state(clusters, state, 2), trials)
+    chosen = cofiba.select_items(clusters, cofiba.cluster_state(clusters, state, WIDTH), items, trials)
     return cofiba.item_edges(cut_lineage(cofiba.user_edges(spans)), chosen), items
 
 
@@ -253,7 +277,7 @@ tested as materialized (
   join hoods o on o.user_id = c.user_id and o.item_id <> c.item_id group by 1, 2)"""
 
 
-@query("cofiba_item_split", f"with {NEIGHBOURS} select * from tested")
+@query("cofiba_item_split", f"with recursive {NEIGHBOURS} select * from tested")
 def cofiba_item_split(spark, sf):
     return _item_split(spark, sf)[0]
 

@@ -95,7 +95,7 @@ def micros(ts: Column) -> Column:
 def user_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("user_id"),
-        F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double")).alias("x"))
+        F.col("embedding").cast("array<double>").alias("x"))
 
 
 def pulls_of(events: DataFrame) -> DataFrame:
@@ -114,9 +114,11 @@ def vector_pulls(spark: SparkSession, sf: str) -> DataFrame:
 PULLS = """pulls as materialized (
   select event_id, ts, user_id, event_type arm, (value > 50)::bigint reward from events)"""
 
+#: Components of the vectors.
+WIDTH = 64
+
 VECTOR_PULLS = """pulls as materialized (
-  select event_id, ts, user_id, event_type arm, (value > 50)::bigint reward,
-         embedding[1]::double x1, embedding[2]::double x2
+  select event_id, ts, user_id, event_type arm, (value > 50)::bigint reward, embedding::double[] x
   from events join embeddings on vec_id = user_id)"""
 
 
@@ -126,7 +128,7 @@ def item_pulls(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     items = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("item_id"),
-        F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double")).alias("x"))
+        F.col("embedding").cast("array<double>").alias("x"))
     return (events.withColumn("item_id", F.get_json_object("props", "$.k").cast("long"))
             .join(items, "item_id")
             .select("event_id", "user_id", "item_id",
@@ -135,7 +137,7 @@ def item_pulls(spark: SparkSession, sf: str) -> DataFrame:
 
 ITEM_PULLS = """ipulls as materialized (
   select event_id, user_id, vec_id item_id, (value > 50)::bigint reward,
-         embedding[1]::double x1, embedding[2]::double x2
+         embedding::double[] x
   from events join embeddings on vec_id = cast(json_extract_string(props, '$.k') as bigint))"""
 
 

@@ -8,8 +8,8 @@ from ..operators import online_topics
 from ..sources.corpus import words_of_lines
 from ..streaming import bandit_streams as st
 from . import fixtures as fx
-from .bandit_queries import FLAT, flat_state
-from .fixtures import PULLS, VECTOR_PULLS
+from .bandit_queries import cells_sql, flat_sql, flat_state
+from .fixtures import PULLS, VECTOR_PULLS, WIDTH
 from .registry import ORACLES, query
 
 
@@ -30,16 +30,14 @@ def stream_arm_stats(spark, sf):
 
 @query("stream_linucb_state", ORACLES["linucb_state"])
 def stream_linucb_state(spark, sf):
-    return flat_state(st.stream_linucb_state(vector_pulls(spark, sf), 2), ["arm", "n"])
+    return flat_state(st.stream_linucb_state(vector_pulls(spark, sf), WIDTH), ["arm", "n"])
 
 
 @query("stream_user_state", f"""with {VECTOR_PULLS},
-s as (
-  select user_id, count(*) n, 0.1::double + sum(x1*x1) a11, sum(x1*x2) a12, 0.1::double + sum(x2*x2) a22,
-         sum(x1*reward) b1, sum(x2*reward) b2 from pulls group by 1)
-select user_id, n, {FLAT} from s""")
+{cells_sql("s", "user_id", "pulls", 0.1, "reward")}
+{flat_sql("user_id, n", "s")}""")
 def stream_user_state(spark, sf):
-    return flat_state(st.stream_user_state(vector_pulls(spark, sf), 2), ["user_id", "n"])
+    return flat_state(st.stream_user_state(vector_pulls(spark, sf), WIDTH), ["user_id", "n"])
 
 
 @query("stream_arm_daily", f"""with {PULLS}

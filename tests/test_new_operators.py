@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillrank.functions.pairs import grouped_pairs
-from quillrank.operators import ivf, leaf_trees, metrics, similarity, similarity_join
+from quillrank.operators import cofiba, ivf, leaf_trees, linucb, metrics, similarity, similarity_join
 
 
 @pytest.fixture(scope="module")
@@ -153,3 +153,42 @@ def test_similarity_join_forms_few_pairs(spark):
     assert met < shared / 50
     with pytest.raises(ValueError):
         similarity_join.cosine_join(ratings, threshold=0.0)
+
+
+@pytest.fixture(scope="module")
+def pulls(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, k % 7, f"arm{k % 5}", int(rng.random() < 0.4), rng.normal(size=12).tolist()) for k in range(400)]
+    return spark.createDataFrame([*rows, (900, 3, "arm1", 1, None), (901, 3, "arm1", None, [1.0] * 12)],
+                                 "event_id long, user_id long, arm string, reward int, x array<double>").persist()
+
+
+def test_ridge_sums_of_any_layout(pulls):
+    """Pulls without x only count, pulls without reward leave b alone."""
+    rows = pulls.collect()
+    for frame in (pulls.repartition(1), pulls.repartition(9, "event_id")):
+        for r in linucb.ridge_sums(frame, "arm", 12, 0.5).collect():
+            own = [p for p in rows if p.arm == r.arm]
+            a = sum((np.outer(p.x, p.x) for p in own if p.x), 0.5 * np.eye(12))
+            b = sum(np.array(p.x) * (p.reward or 0) for p in own if p.x)
+            assert r.n == len(own) and r.a == pytest.approx(a.ravel().tolist()) and r.b == pytest.approx(b.tolist())
+
+
+def test_linucb_in_blocks_equals_the_broadcast(pulls):
+    state = linucb.linucb_state(pulls.filter("x is not null"), 12)
+    asked = pulls.filter("x is not null")
+    one = sorted(map(tuple, linucb.linucb_select(asked, "event_id", state).collect()))
+    assert sorted(map(tuple, linucb.linucb_select(asked, "event_id", state, broadcast_bytes=0).collect())) == one
+
+
+def test_cluster_sums_are_those_of_the_members(spark, pulls):
+    state = cofiba.user_state(pulls, 12)
+    users = {r.user_id: r for r in state.collect()}
+    members = [(item, u, (u * item) % 3) for item in range(40) for u in users]
+    clusters = spark.createDataFrame(members, "item_id long, user_id long, cluster long")
+    got = cofiba.cluster_state(clusters, state, 12).collect()
+    assert len(got) == len({(i, c) for i, _, c in members})
+    for r in got:
+        own = [users[u] for i, u, c in members if (i, c) == (r.item_id, r.cluster)]
+        a = sum(np.array(u.a) - 0.1 * np.eye(12).ravel() for u in own) + 0.1 * np.eye(12).ravel()
+        assert r.users == len(own) and r.a == pytest.approx(a.tolist()) and r.b == pytest.approx(sum(np.array(u.b) for u in own).tolist())
