@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,9 +55,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark.sparkContext._jvm.System.gc()
     out = spark.read.parquet(path)
     out.stored_at = path
+    for tables in _RECORDS:
+        tables.append(out)
     return out
 
 
+_RECORDS: list[list[DataFrame]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables that :func:`saved` makes meanwhile, for whoever will know when they are no longer read."""
+    tables: list[DataFrame] = []
+    _RECORDS.append(tables)
+    try:
+        yield tables
+    finally:
+        _RECORDS.remove(tables)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables made by :func:`saved` that nothing will read any more."""
     for table in tables:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import NO_ID, doc_id, documents, join_sized, rows, saved
+from .common import NO_ID, discard, doc_id, documents, join_sized, marked, saved
 from .words import BLANK, LOWERED, fingerprints, mix, spans, steps, windows
 
 
@@ -25,6 +25,7 @@ class Settings(NamedTuple):
     batch: int = 25           # hashes that one step of the sequential test compares
     miss: float = 1e-6        # posterior probability at which a candidate is given up
     growth: int = 8           # by which the pivots of a bucket grow from round to round
+    bits: int = 2048          # of the map that bounds what two sets can share, a power of two
 
     @property
     def hashes(self) -> int:
@@ -53,9 +54,9 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, s: Settings) -> DataFrame:
-    """(id, digest, n_shingles, signature, keys) of each row.
+    """(id, mark, digest, n_shingles, signature, keys) of each row.
 
-    ``digest`` stands for the whole sequence of words, ``n_shingles`` is the size of the set, ``keys`` has a hash
+    ``mark`` is the text's own digest, ``digest`` stands for the whole sequence of words, ``n_shingles`` is the size of the set, ``keys`` has a hash
     for each band; texts without words have no signature and no keys.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,11 +90,12 @@ def sketches(docs: DataFrame, s: Settings) -> DataFrame:
             for row, i in enumerate(some.tolist()):
                 blobs[i], lists[i] = sig[row].tobytes(), keys[row].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(digests, pa.binary()), pa.array(sizes), pa.array(blobs, pa.binary()),
-                 pa.array(lists, pa.list_(pa.int64()))], ["id", "digest", "n_shingles", "signature", "keys"])
+                [batch.column("id"), batch.column("mark"), pa.array(digests, pa.binary()), pa.array(sizes),
+                 pa.array(blobs, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+                ["id", "mark", "digest", "n_shingles", "signature", "keys"])
 
-    return rows(docs).mapInArrow(
-        run, "id bigint, digest binary, n_shingles bigint, signature binary, keys array<bigint>")
+    return marked(docs).mapInArrow(
+        run, "id bigint, mark binary, digest binary, n_shingles bigint, signature binary, keys array<bigint>")
 
 
 def least_matches(s: Settings) -> list[tuple[int, int]]:
@@ -156,6 +158,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def bitmaps(texts: DataFrame, s: Settings) -> DataFrame:
+    """(id, map): the set's shingles hashed to bits, as 64-bit words.
+
+    Two maps differ in no more bits than their sets do in shingles. Of sets with n and m shingles whose maps differ in
+    k bits, at most (n + m - k) / 2 shingles are common.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in steps(batches):
+            data = LOWERED[data]
+            starts, ends, bounds = spans(data, offsets)
+            window, whole = windows(fingerprints(data, starts, ends), bounds, s.words)
+            place = np.flatnonzero(whole)
+            on = np.zeros((len(batch), s.bits), np.uint8)
+            on[np.searchsorted(bounds, place, "right") - 1, (mix(window[place]) >> np.uint64(11)).astype(np.int64) & (s.bits - 1)] = 1
+            maps = np.packbits(on, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(list(maps), pa.list_(pa.int64()))], ["id", "map"])
+
+    return texts.mapInArrow(run, "id bigint, map array<bigint>")
+
+
 def linkable(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(key, id, size, component, u, n): members of buckets without those that no other member can be similar to.
 
@@ -181,80 +203,117 @@ def linkable(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     own = held.groupBy("id").agg(F.count("*").alias("n"))
     sized = members.join(own.join(shared, "id"), "id")
     least = sized.groupBy("key").agg(F.min("n").alias("m"))
-    return (sized.join(least, "key").filter(100 * F.col("u") >= s.similarity * (F.col("n") + F.col("m") - F.col("u")))
-            .drop("m"))
+    out = (sized.join(least, "key").filter(100 * F.col("u") >= s.similarity * (F.col("n") + F.col("m") - F.col("u")))
+           .drop("m"))
+    out = saved(out, "near-linkable")
+    discard(held, often)
+    return out
 
 
 def near_links(sketch: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """Confirmed links (a, b) between the given sketches that connect all that similar pairs would connect.
 
-    The smallest id of a band bucket is its first pivot. In the first round each member meets the smallest pivot of
-    its buckets, which settles groups of copies with one row a member; in the second it meets the pivots of buckets
-    that still hold several components. Where they do after that, further rounds compare a growing share of
-    the members (pivots, chosen by a hash) with all members of other components, until each pair of members is
-    compared, connected or ruled out by the shingles that they can share. No bucket is capped, and none is gathered
-    in one task.
+    ``sketch`` has one row for each different sequence of words: id, a number of its own, and (first, mark), a row
+    of ``docs`` with that text. The text with the smallest first row is the first pivot of a band bucket. In the first round each member
+    meets the smallest pivot of its buckets, which settles groups of copies with one row a member; in the second it
+    meets the pivots of buckets that still hold several components. Where they do after that, further rounds
+    compare a growing share of the members (pivots, chosen by a hash) with all members of other components, until
+    each pair of members is compared, connected or ruled out, by the shingles that they can share at most or by
+    maps of their shingles. No bucket is capped, and none is gathered in one task.
     """
-    members = sketch.select("id", F.posexplode("keys").alias("band", "key"))
-    buckets = saved(members.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size"))
+    members = sketch.select("id", "first", F.posexplode("keys").alias("band", "key"))
+    buckets = saved(members.groupBy("key").agg(F.min(F.struct("first", "id")).alias("pivot"), F.count("*").alias("size"))
                     .filter("size > 1"), "near-buckets")
     members = saved(join_sized(members, buckets, ["key"], "size", s.bands * sketch.count()), "near-members")
-    ids = members.select("id").distinct()
-    texts = saved(rows(docs).join(ids, "id").dropDuplicates(["id"]).select("id", "text"), "near-texts")
+    discard(buckets)
+    chosen = sketch.join(members.select("id").distinct(), "id").select(F.col("id").alias("node"), F.col("first").alias("id"), "mark")
+    texts = saved(marked(docs).join(chosen, ["id", "mark"]).dropDuplicates(["node"]).select(F.col("node").alias("id"), "text"),
+                  "near-texts")
 
     def links(pairs: DataFrame) -> DataFrame:
-        alive = saved(bayes_survivors(saved(pairs.distinct(), "near-pairs"), sketch, s), "near-survivors")
-        return saved(confirmed(alive, texts, s), "near-links")
+        once = saved(pairs.distinct(), "near-pairs")
+        alive = saved(bayes_survivors(once, sketch, s), "near-survivors")
+        out = saved(confirmed(alive, texts, s), "near-links")
+        discard(once, alive)
+        return out
 
-    def mixed(members: DataFrame) -> DataFrame:
+    def mixed(members: DataFrame, *old: DataFrame) -> DataFrame:
         """The members of buckets with several components, with theirs."""
         label = connected_components(found, u="a", v="b").toDF("id", "component")
         own = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
         several = own.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-        return saved(own.join(several.select("key"), "key"), "near-mixed")
+        out = saved(own.join(several.select("key"), "key"), "near-mixed")
+        discard(*old)
+        return out
+
+    def more(pairs: DataFrame) -> DataFrame:
+        new = links(pairs)
+        out = saved(found.unionByName(new), "near-found")
+        discard(found, new)
+        return out
 
-    pair = (F.col("pivot").alias("a"), F.col("id").alias("b"))
+    pair = (F.least("pivot.id", "id").alias("a"), F.greatest("pivot.id", "id").alias("b"))
     nearest = members.groupBy("id").agg(F.min("pivot").alias("pivot"))
-    found = links(nearest.filter("pivot < id").select(*pair))
-    members = mixed(members.select("key", "band", "id", "size", "pivot"))
+    found = links(nearest.filter("pivot.id <> id").select(*pair))
+    members = mixed(members.select("key", "band", "id", "size", "pivot"), members)
     if members.isEmpty():
         return found
-    settled = members.filter("id = pivot").select("key", F.col("component").alias("p_component"))
-    rest = members.join(settled, "key").filter("p_component <> component").select(*pair)
-    found = saved(found.unionByName(links(rest)), "near-found")
-    members = mixed(members.filter("size > 2").select("key", "band", "id", "size"))
+    settled = members.filter("id = pivot.id").select("key", F.col("component").alias("p_component"))
+    found = more(members.join(settled, "key").filter("p_component <> component").select(*pair))
+    members = mixed(members.filter("size > 2").select("key", "band", "id", "size"), members)
     if members.isEmpty():
         return found
-    members = saved(linkable(members, texts, s).join(sketch.select("id", "keys"), "id"), "near-linkable").drop("component")
+    left = linkable(members, texts, s)
+    discard(members)
+    ids = left.select("id").distinct()
+    maps = bitmaps(texts.join(ids, "id"), s)
+    members = saved(left.join(sketch.select("id", "keys"), "id").join(maps, "id").drop("component"), "near-mapped")
+    discard(left)
     # a member is a pivot of round r if its place, a hash times the bucket's size, is below growth**r
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("size")
     low, high = 0.0, float(s.growth)
     while True:
-        members = mixed(members.filter(place >= low))
+        members = mixed(members.filter(place >= low).drop("component"), members)
         if members.filter(F.col("size") > low).isEmpty():
             return found
-        pivot = members.filter(place < high).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "component", "u", "n", "keys")))
-        least = F.least("u", "p_u")
+        pivot = members.filter(place < high).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "component", "u", "n", "keys", "map")))
+        apart = F.aggregate(F.zip_with("map", "p_map", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+
+        def enough(common):
+            return 100 * common >= s.similarity * (F.col("n") + F.col("p_n") - common)
+
         # a pivot meets the members that are no pivots, and of two pivots the earlier meets the later; pairs meet in
         # the first band that they share, and only if their shared shingles may be enough
-        pairs = (pivot.join(members, "key").filter(
+        # the join multiplies its input, so its tasks must not be merged by their size
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pairs = (pivot.repartition(n, "key").join(members.repartition(n, "key"), "key").filter(
             (F.col("p_component") != F.col("component")) & ((place >= high) | (F.col("p_id") < F.col("id")))
-            & (100 * least >= s.similarity * (F.col("n") + F.col("p_n") - least))
-            & (F.array_position(F.zip_with("keys", "p_keys", lambda x, y: x == y), True) == F.col("band") + 1))
+            & enough(F.least("u", "p_u"))
+            & (F.array_position(F.zip_with("keys", "p_keys", lambda x, y: x == y), True) == F.col("band") + 1)
+            & enough((F.col("n") + F.col("p_n") - apart) / 2))
             .select(F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")))
-        found = saved(found.unionByName(links(pairs)), "near-found")
-        members = members.drop("component")
+        found = more(pairs)
         low, high = high, high * s.growth
 
 
+def same_ids(some: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b): links between different texts that rows of one doc_id hold. Rows without doc_id are not one document."""
+    several = (some.filter(F.col("id") < NO_ID).groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y"))
+               .filter("x <> y").select("id"))
+    held = some.select("id", "digest").join(several, "id").distinct().join(groups.select("digest", "node"), "digest")
+    first = held.groupBy("id").agg(F.min("node").alias("a"))
+    return held.join(first, "id").filter("a < node").select("a", F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
 
     Words are lower-cased (A-Z); a text's set holds its different shingles of five words, or its whole sequence if
     it has fewer. Documents whose sets reach the similarity are linked; ``component_id`` is the smallest doc_id
-    of the connected documents and ``kept`` marks the row that carries it. Texts without words (null, empty) are
-    linked with nothing. Rows with one doc_id and equal words are one document; an empty table gives an empty
-    result; a null doc_id counts as the largest; other columns are ignored.
+    of the connected documents and ``kept`` marks the rows that carry it. Texts without words (null, empty) are
+    linked with nothing. Rows with one doc_id are one document: the links of all their texts connect; a row without
+    doc_id is a document of its own, larger than all others. An empty table gives an empty result; other columns are
+    ignored.
 
     Equal word sequences are merged first: only one of a group of copies is compared. A pair is missed if all bands
     differ (4e-7 at the threshold, less above) or the sequential test gives it up (``miss``); each is then often
@@ -263,15 +322,17 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     s = settings or Settings()
     sketch = saved(sketches(docs, s), "near-sketches")
     some = sketch.filter("n_shingles > 0")
-    groups = saved(some.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("rows")), "near-copies")
-    narrow = some.select("id", "digest")
-    copies = saved(join_sized(narrow, groups, ["digest"], "rows", some.count()).select("id", "digest", "first"), "near-first")
-    chosen = saved(some.drop("digest").join(copies.filter("id = first").select("id"), "id", "left_semi")
-                   .dropDuplicates(["id"]), "near-chosen")
-    links = near_links(chosen, docs, s)
-    label = connected_components(links, u="a", v="b").toDF("first", "component")
-    groups = groups.join(label, "first", "left").select(
-        "digest", F.coalesce("component", "first").alias("component"), "rows")
+    chosen = saved(some.groupBy("digest").agg(
+        F.min(F.struct("id", "mark")).alias("row"), F.count("*").alias("rows"), F.first("n_shingles").alias("n_shingles"),
+        F.first("signature").alias("signature"), F.first("keys").alias("keys"))
+        .select("digest", "rows", "n_shingles", "signature", "keys", F.col("row.id").alias("first"), F.col("row.mark").alias("mark"),
+                F.monotonically_increasing_id().alias("node")), "near-chosen")
+    links = near_links(chosen.withColumnRenamed("node", "id"), docs, s)
+    groups = chosen.select("digest", "rows", "first", "node")
+    label = connected_components(links.unionByName(same_ids(some, groups)), u="a", v="b").toDF("node", "label")
+    groups = saved(groups.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "near-labels")
+    least = saved(groups.groupBy("label").agg(F.min("first").alias("component"), F.count("*").alias("texts")), "near-least")
+    groups = join_sized(groups, least, ["label"], "texts", groups.count()).select("digest", "component", "rows")
     joined = join_sized(some.select("id", "digest", "n_shingles"), saved(groups, "near-groups"), ["digest"], "rows",
                         some.count())
     alone = sketch.filter("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component"))
