@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
 
     Only hashes travel in the count; per (key, document) sums come first, so a line that a third of all
     documents hold reaches its reducer as one row a task. Keys with many lines are broadcast in the join back.
+    A text is put together again in one pass over its lines.
     """
     lines = saved(line_keys(docs, min_chars), "line-keys")
     per_doc = lines.groupBy("hash", "id").agg(F.count("*").alias("n"))
@@ -34,15 +38,21 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
                   .filter(F.col("docs") >= min_docs).select("hash", "last", "lines"), "line-heavy")
     dropped = (join_sized(lines, heavy, ["hash"], "lines", lines.count()).filter("id < last")
                .groupBy("id", "mark").agg(F.collect_set("pos").alias("gone")))
-    # split() is repeated where it is used, so that no row carries its text twice
-    parts = F.split("text", "\n", -1)
-    places = F.sequence(F.lit(0), F.size(parts) - 1)
-    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(
-        F.transform(F.array_except(places, "gone"), lambda i: F.get(parts, i)), "\n"))
-    return marked(docs).join(dropped, ["id", "mark"], "left").select(
-        doc_id(), F.size(parts).cast("bigint").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias("n_dropped"),
-        kept.alias("kept"))
+
+    def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, kept = [], []
+            for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
+                parts, out = text.split("\n"), set(gone or ())
+                sizes.append((len(parts), len(out)))
+                kept.append("\n".join(x for k, x in enumerate(parts) if k not in out) if out else text)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), *(pa.array([x[k] for x in sizes], pa.int64()) for k in (0, 1)), pa.array(kept, pa.string())],
+                ["id", "n_lines", "n_dropped", "kept"])
+
+    joined = marked(docs).join(dropped, ["id", "mark"], "left").select("id", "text", "gone")
+    return joined.mapInArrow(reassemble, "id bigint, n_lines bigint, n_dropped bigint, kept string").select(
+        doc_id(), "n_lines", "n_dropped", "kept")
 
 
 SQL = r"""with l as (
