@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .ngrams import xxhash64
+
 #: Bytes of text that the arrays of one step cover; a longer text is a step of its own.
 STEP = 2 << 20
 BLANK = np.zeros(256, bool)
@@ -33,11 +35,6 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
-_BLOCK = 1 << 21
-_UP, _DOWN = powers(BASE, _BLOCK), powers(pow(BASE, -1, 1 << 64), _BLOCK)
-
-
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column without nulls, without a copy."""
     wide = pa.types.is_large_string(column.type)
@@ -76,36 +73,8 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit fingerprint of each byte range; equal ranges get equal ones on every executor.
-
-    A polynomial over coded bytes, taken from running sums. Ranges are done in blocks, so the extra memory
-    does not grow with the text.
-    """
-    out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        origin = starts[first]
-        last = int(np.searchsorted(ends, origin + _BLOCK - 1, "right"))
-        if last <= first:  # one range longer than a block
-            out[first] = _long_fingerprint(data[origin:ends[first]])
-            first += 1
-            continue
-        part = data[origin:ends[last - 1]]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(BYTE_CODES[part] * _UP[:len(part)], out=sums[1:])
-        s, e = starts[first:last] - origin, ends[first:last] - origin
-        out[first:last] = (sums[e] - sums[s]) * _DOWN[s]
-        first = last
-    return mix(out)
-
-
-def _long_fingerprint(data: np.ndarray) -> np.uint64:
-    total, scale = 0, 1
-    for k in range(0, len(data), _BLOCK):
-        part = data[k:k + _BLOCK]
-        total += int((BYTE_CODES[part] * _UP[:len(part)]).sum()) * scale
-        scale = scale * pow(BASE, _BLOCK, 1 << 64) % (1 << 64)
-    return np.uint64(total % (1 << 64))
+    """A 64-bit fingerprint of each byte range, its xxHash64; equal ranges get equal ones on every executor."""
+    return mix(xxhash64(np.ascontiguousarray(data), starts, ends - starts))
 
 
 def windows(codes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

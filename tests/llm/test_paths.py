@@ -1,6 +1,7 @@
 """The paths that small tables seldom take: collisions, splits, pivots, merge order, hot groups."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -8,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from quillrank.llm import bpe, common, exact_dedup, license_rules, mixing, near_dedup, substring_dedup, words
+from quillrank.llm import (bpe, common, exact_dedup, license_rules, line_dedup, mixing, near_dedup, quality_rules,
+                           substring_dedup, words)
 
 from . import brute
 
@@ -55,6 +57,44 @@ def test_near_groups_need_several_pivots(spark):
     assert got == want and len({c for _, c in want.values()}) < 30
 
 
+def test_rows_of_one_id_connect_what_their_texts_resemble(spark):
+    """Two texts under one doc_id, and rows without doc_id, which are documents of their own."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in near_dedup.near_duplicates(
+        frame(spark, [(1, a + " x"), (2, b + " x"), (5, a), (5, b + " y z")])).collect()}
+    assert got == {(1, 57): 1, (2, 57): 1, (5, 56): 1, (5, 58): 1}
+    apart = near_dedup.near_duplicates(frame(spark, [(1, a + " x"), (2, b + " x"), (None, a), (None, b + " y z")])).collect()
+    assert sorted((r.doc_id or 0, r.component_id) for r in apart) == [(0, 1), (0, 2), (1, 1), (2, 2)]
+
+
+def test_a_crowd_of_unlike_texts_makes_few_pairs(spark, monkeypatch):
+    """All share their buckets, each pair differs in too many places; most pairs fail the bounds before any is compared."""
+    rng, base, texts = random.Random(6), [f"w{k}" for k in range(200)], []
+    for d in range(300):
+        copy = list(base)
+        for k in rng.sample(range(5, 195), 5):
+            copy[k] = f"e{d}x{k}"
+        texts.append((d, " ".join(copy)))
+    pairs, plain = [], near_dedup.saved
+    monkeypatch.setattr(near_dedup, "saved", lambda df, name: (lambda out: (pairs.append(out.count()) if name == "near-pairs" else None, out)[1])(plain(df, name)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == brute.near(texts)
+    assert sum(pairs) < 10 * len(texts)
+
+
+def test_maps_bound_what_sets_share(spark):
+    rng = random.Random(2)
+    texts = {d: " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 90))) for d in range(40)}
+    s = near_dedup.Settings(bits=256)
+    maps = {r.id: r.map for r in near_dedup.bitmaps(frame(spark, texts.items()).toDF("id", "text"), s).collect()}
+    sets = {d: brute.shingles(t) for d, t in texts.items()}
+    for x in sets:
+        for y in sets:
+            apart = sum(((a ^ b) & (1 << 64) - 1).bit_count() for a, b in zip(maps[x], maps[y]))
+            if min(len(texts[x].split()), len(texts[y].split())) >= 5:
+                assert len(sets[x] & sets[y]) <= (len(sets[x]) + len(sets[y]) - apart) / 2
+
+
 def test_sequential_test_keeps_what_may_be_similar():
     bounds = near_dedup.least_matches(near_dedup.Settings())
     assert [n for n, _ in bounds] == [25, 50, 75, 100, 125]
@@ -93,14 +133,39 @@ def test_spans_and_fingerprints(texts):
     assert int(whole.sum()) == sum(max(0, len(ws) - 2) for ws in want)
 
 
-def test_long_words_have_block_independent_fingerprints(monkeypatch):
-    data = np.frombuffer(b"x" * 5000 + b" abc " + b"x" * 5000, np.uint8)
-    starts, ends, _ = words.spans(data, np.array([0, len(data)]))
-    whole = words.fingerprints(data, starts, ends)
-    monkeypatch.setattr(words, "_BLOCK", 64)
-    monkeypatch.setattr(words, "_UP", words.powers(words.BASE, 64))
-    monkeypatch.setattr(words, "_DOWN", words.powers(pow(words.BASE, -1, 1 << 64), 64))
-    assert words.fingerprints(data, starts, ends).tolist() == whole.tolist() and whole[0] == whole[2]
+def test_long_words_have_fingerprints():
+    data = np.frombuffer(b"x" * 5000 + b" abc " + b"x" * 5000 + b" " + b"x" * 5001, np.uint8)
+    codes = words.fingerprints(data, *words.spans(data, np.array([0, len(data)]))[:2])
+    assert codes[0] == codes[2] and len(set(codes.tolist())) == 3
+
+
+def thue_morse(n, swap=False):
+    return "".join("ab"[k.bit_count() % 2 ^ swap] for k in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_words_built_to_collide_stay_apart(spark, size):
+    """Polynomials modulo a power of two give these two words one value, whatever their base."""
+    x, y = thue_morse(size), thue_morse(size, True)
+    other = [f"w{k}" for k in range(19)]
+    text = " ".join([x, *other, y, *other, "end"])
+    assert len(set(words.fingerprints(*(lambda d: (d, *words.spans(d, np.array([0, len(d)]))[:2]))(
+        np.frombuffer(f"{x} {y}".encode(), np.uint8))).tolist())) == 2
+    docs = frame(spark, [(1, text), (2, " ".join([x, *other[:4], y, *other[:4]]))])
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(docs).collect()} == {
+        d: v[:2] for d, v in brute.passages([tuple(r) for r in docs.collect()]).items()}
+    assert {r.doc_id: (r.n_repeat_words, r.base_failed) for r in quality_rules.quality_rules(docs).collect()} == {
+        r.doc_id: brute.figures(r.text)[4:] for r in docs.collect()}
+    assert {r.doc_id: r.n_shingles for r in near_dedup.near_duplicates(docs).collect()} == {
+        r.doc_id: len(brute.shingles(r.text)) for r in docs.collect()}
+
+
+def test_texts_of_many_lines_take_linear_time(spark):
+    line = "a line that is long enough to be counted as one"
+    texts = [(d, "\n".join([line, *(f"own line {d} {k}" for k in range(50_000)), line])) for d in range(5)]
+    began = time.time()
+    got = {r.doc_id: (r.n_lines, r.n_dropped, brute.sha(r.kept)) for r in line_dedup.line_dedup(frame(spark, texts)).collect()}
+    assert time.time() - began < 60 and got == brute.lines(texts)
 
 
 @settings(max_examples=60, deadline=None)
