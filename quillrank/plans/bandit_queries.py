@@ -92,9 +92,24 @@ def thompson_posterior(spark, sf):
         {"mean": F.round("mean", 6), "variance": F.round("variance", 9)})
 
 
-@query("thompson_select")
+def drawn_sql(part: str) -> str:
+    return sql_uniform(f"'ts:'||event_id||':'||arm||':'||side||':'||j||':{part}'") + " + power(2, -33)"
+
+
+@query("thompson_select", f"""with {STATS},
+sides as (select arm, 'alpha' side, 1 + wins p from stats union all select arm, 'beta', 1 + losses from stats),
+tries as (
+  select event_id, arm, side, j, p - 1/3.0::double d, sqrt(-2*ln({drawn_sql("r")}))*cos(2*pi()*({drawn_sql("t")})) x, ln({drawn_sql("u")}) u
+  from events cross join sides cross join (select unnest(range(8)) j)),
+gammas as (
+  select event_id, arm, side, arg_min(d*v, j) g
+  from (select *, power(1 + x/sqrt(9*d), 3) v from tries)
+  where case when v > 0 then u < 0.5*x*x + d - d*v + d*ln(v) else false end group by 1, 2, 3),
+betas as (select a.event_id, a.arm, a.g/(a.g + b.g) draw from gammas a join gammas b using (event_id, arm) where a.side = 'alpha' and b.side = 'beta')
+select event_id, arg_max(arm, draw) arm, round(max(draw), 6) draw from betas group by 1""")
 def thompson_select(spark, sf):
-    return bandit.thompson_select(fx.table(spark, sf, "events"), fx.pulls(spark, sf))
+    chosen = bandit.thompson_select(fx.table(spark, sf, "events"), fx.pulls(spark, sf))
+    return chosen.withColumn("draw", F.round("draw", 6))
 
 
 REGRET = f"""with {STATS},

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillrank.functions.pairs import grouped_pairs
-from quillrank.operators import cofiba, ivf, leaf_trees, linucb, metrics, similarity, similarity_join
+from quillrank.operators import bandit, cofiba, ivf, leaf_trees, linucb, metrics, similarity, similarity_join
 
 
 @pytest.fixture(scope="module")
@@ -192,3 +192,42 @@ def test_cluster_sums_are_those_of_the_members(spark, pulls):
         own = [users[u] for i, u, c in members if (i, c) == (r.item_id, r.cluster)]
         a = sum(np.array(u.a) - 0.1 * np.eye(12).ravel() for u in own) + 0.1 * np.eye(12).ravel()
         assert r.users == len(own) and r.a == pytest.approx(a.tolist()) and r.b == pytest.approx(sum(np.array(u.b) for u in own).tolist())
+
+
+def plain_replay(log):
+    """What UCB1 would pull, one event after the other."""
+    arms = sorted({p.arm for p in log})
+    n, w, out = dict.fromkeys(arms, 0), dict.fromkeys(arms, 0.0), []
+    for t, p in enumerate(sorted(log, key=lambda p: (p.t, p.event_id))):
+        score = {a: round((w[a] / n[a] if n[a] else 0.0) + math.sqrt(2 * math.log(1 + t) / (1 + n[a])), 6) for a in arms}
+        best = max(arms, key=lambda a: (score[a], [-ord(c) for c in a]))
+        out.append((p.event_id, p.arm, best, score[best]))
+        n[p.arm] += 1
+        w[p.arm] += p.reward or 0
+    return sorted(out)
+
+
+def test_replay_in_slices_equals_the_sequence(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.randrange(40), f"arm{rng.randrange(12):02d}", rng.choice([0, 1, None])) for k in range(700)]
+    log = spark.createDataFrame(rows, "event_id long, t long, arm string, reward int").persist()
+    want = plain_replay(log.collect())
+    for size in (50_000, 40):
+        got = sorted(map(tuple, bandit.replay_ucb(log, slice_rows=size).collect()))
+        assert [g[:3] for g in got] == [x[:3] for x in want] and [g[3] for g in got] == pytest.approx([x[3] for x in want], abs=2e-6)
+
+
+def test_replay_with_thousands_of_arms(spark):
+    log = spark.range(6000).select(F.col("id").alias("event_id"), F.col("id").alias("t"), (F.col("id") % 5000).alias("arm"),
+                                   (F.col("id") % 3 == 0).cast("int").alias("reward"))
+    got = {r.event_id: (r.ucb_arm, r.ucb) for r in bandit.replay_ucb(log).collect()}
+    assert len(got) == 6000 and got[0] == (0, 0.0)
+    # once the bonus outweighs a reward, an arm never pulled comes first until all have been pulled
+    assert all(got[t][0] == t for t in range(400, 5000))
+
+
+def test_gamma_draws_have_their_moments(spark):
+    draws = spark.range(20_000).select(*[bandit.gamma_draw(F.lit(a), "t", F.col("id"), a).alias(f"g{k}") for k, a in enumerate((1.0, 4.5, 300.0))])
+    for k, a in enumerate((1.0, 4.5, 300.0)):
+        x = draws.agg(F.avg(f"g{k}").alias("m"), F.var_samp(f"g{k}").alias("v"), F.min(f"g{k}").alias("low")).first()
+        assert x.m == pytest.approx(a, rel=0.03) and x.v == pytest.approx(a, rel=0.08) and x.low > 0

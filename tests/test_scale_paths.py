@@ -95,10 +95,10 @@ def test_arm_blocks_and_salted_join(spark, monkeypatch):
     assert rows(linucb.linucb_select(requests, "id", state)) == want
 
 
-def test_replay_in_several_passes(spark):
+def test_replay_in_several_slices(spark):
     pulls = spark.range(200).select(F.col("id").alias("event_id"), F.col("id").alias("t"),
                                     (F.hash("id") % 7).cast("string").alias("arm"), (F.hash("id") % 2 == 0).cast("long").alias("reward"))
-    assert rows(bandit.replay_ucb(pulls)) == rows(bandit.replay_ucb(pulls, columns=3))
+    assert rows(bandit.replay_ucb(pulls)) == rows(bandit.replay_ucb(pulls, slice_rows=9))
 
 
 def test_nearest_neighbours_over_blocks(spark):
