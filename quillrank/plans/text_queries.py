@@ -40,12 +40,36 @@ idf as materialized (
   select word, ln((select count(distinct doc_id) from words) / count(distinct doc_id)) idf from words group by 1)"""
 
 
-@query("idf_lexicon", f"""with {IDF}
-select word, round(idf, 6) + 0.0 idf, round((select avg(idf) from idf), 6) mean_idf from idf""")
+#: Words of documents, without places: what document frequencies need.
+HELD = """held as materialized (
+  select distinct doc_id, word from (
+    select doc_id, unnest(string_split_regex(text, '[ \\t\\r\\f\\n]+')) word from documents) where length(word) > 1),
+df as materialized (select word, count(*) df from held group by 1),
+docs as materialized (select count(distinct doc_id) n from held)"""
+
+
+@query("idf_lexicon", f"""with {HELD},
+idf as materialized (select word, ln(n / df) idf from df cross join docs),
+mean as materialized (select round(avg(idf), 6) mean_idf from idf)
+select word, round(idf, 6) + 0.0 idf, mean_idf from idf cross join mean""")
 def idf_lexicon(spark, sf):
     lexicon = cut_lineage(keywords.idf_lexicon(fx.all_words(spark, sf)))
-    return lexicon.select("word", out(F.col("idf")).alias("idf"),
-                          F.round(lexicon.agg(F.avg("idf")).scalar(), 6).alias("mean_idf"))
+    mean = lexicon.agg(F.avg("idf")).first()[0]
+    return lexicon.select("word", out(F.col("idf")).alias("idf"), F.round(F.lit(mean), 6).alias("mean_idf"))
+
+
+@query("stop_words", f"""with {HELD} select word, df from df cross join docs where 10 * df >= n""")
+def stop_words(spark, sf):
+    """Words that a tenth of the documents hold."""
+    return keywords.common_words(fx.all_words(spark, sf), share=0.1)
+
+
+@query("term_frequency_without_stop_words", f"""with {WORDS}, {HELD}
+select doc_id, word, count(*) tf from words anti join (select word from df cross join docs where 10 * df >= n) using (word) group by 1, 2""")
+def term_frequency_without_stop_words(spark, sf):
+    """Term frequencies without the words of a stop list, given as a table."""
+    words = fx.all_words(spark, sf)
+    return keywords.without_stop_words(keywords.term_frequency(words), keywords.common_words(words, share=0.1))
 
 
 @query("tfidf_keywords", f"""with {IDF},

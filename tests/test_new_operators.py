@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillrank.functions.pairs import grouped_pairs
-from quillrank.operators import bandit, cofiba, ivf, leaf_trees, linucb, metrics, similarity, similarity_join
+from quillrank.operators import bandit, cofiba, ivf, keywords, leaf_trees, linucb, metrics, similarity, similarity_join
+from quillrank.streaming.sink import LatestRows
 
 
 @pytest.fixture(scope="module")
@@ -231,3 +232,53 @@ def test_gamma_draws_have_their_moments(spark):
     for k, a in enumerate((1.0, 4.5, 300.0)):
         x = draws.agg(F.avg(f"g{k}").alias("m"), F.var_samp(f"g{k}").alias("v"), F.min(f"g{k}").alias("low")).first()
         assert x.m == pytest.approx(a, rel=0.03) and x.v == pytest.approx(a, rel=0.08) and x.low > 0
+
+
+def batches(spark, n):
+    return [spark.createDataFrame([(k, b) for k in ("a", f"k{b % 7}", f"own{b}")], "key string, value int") for b in range(n)]
+
+
+def folders(path):
+    return {name: sorted(x.name for x in (path / name).iterdir() if x.name.startswith("n=")) for name in ("rows", "snapshots", "commits")}
+
+
+def want_of(n):
+    return dict([(f"k{b % 7}", b) for b in range(n)] + [(f"own{b}", b) for b in range(n)] + [("a", n - 1)])
+
+
+def test_a_compacted_table_stays_small(spark, tmp_path):
+    table = LatestRows(spark, str(tmp_path), ["key"], every=4)
+    for number, batch in enumerate(batches(spark, 18)):
+        table.write(batch, number)
+    assert folders(tmp_path) == {"rows": ["n=16", "n=17"], "snapshots": ["n=15"], "commits": ["n=15"]}
+    assert {r.key: r.value for r in table.rows().collect()} == want_of(18)
+    table.write(batches(spark, 1)[0], 9)  # repeated after its snapshot: nothing changes
+    assert {r.key: r.value for r in table.rows().collect()} == want_of(18)
+
+
+@pytest.mark.parametrize("when", ["before the commit", "after the commit"])
+def test_a_kill_during_compaction_loses_nothing(spark, tmp_path, when):
+    class Killed(LatestRows):
+        def commit(self, number):
+            if when == "after the commit":
+                super().commit(number)
+            raise KeyboardInterrupt
+
+    rows = batches(spark, 10)
+    table = LatestRows(spark, str(tmp_path), ["key"], every=5)
+    for number in range(9):
+        table.write(rows[number], number)
+    with pytest.raises(KeyboardInterrupt):
+        Killed(spark, str(tmp_path), ["key"], every=5).write(rows[9], 9)
+    assert {r.key: r.value for r in table.rows().collect()} == want_of(10)
+    table.write(rows[9], 9)  # the batch is repeated after the restart
+    assert {r.key: r.value for r in table.rows().collect()} == want_of(10)
+    assert table.committed() == 9
+
+
+def test_stop_words_are_a_table(spark):
+    docs = spark.createDataFrame([(1, ["aa", "bb", "aa"]), (2, ["aa", "cc"]), (3, ["aa"]), (4, [])], "doc_id long, words array<string>")
+    stop = keywords.common_words(docs, 0.5)
+    assert {tuple(r) for r in stop.collect()} == {("aa", 3)}
+    left = keywords.without_stop_words(keywords.term_frequency(docs), stop)
+    assert {tuple(r) for r in left.collect()} == {(1, "bb", 1), (2, "cc", 1)}
