@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import dot, uniform
 from ..functions.linalg import solve, symmetric
 from ..functions.running import running
-from ..session import cut_lineage
+from ..session import cut_lineage, delete_stored, stored
 
 
 def init_factors(ids: DataFrame, column: str, k: int, seed: str, low: float = 0.0, high: float = 1.0) -> DataFrame:
@@ -125,54 +125,94 @@ def batch_gd(ratings: DataFrame, k: int = 2, rounds: int = 100, step: float = 0.
     return users, items
 
 
+def waves(user: np.ndarray, item: np.ndarray):
+    """Row numbers in waves without a common user or item, so that each wave moves as arrays.
+
+    A row goes once it is the earliest that is left of its user and of its item: the waves give what a pass over
+    the rows one after the other would give.
+    """
+    by_user, by_item = np.argsort(user, kind="stable"), np.argsort(item, kind="stable")
+    edge = np.searchsorted(user[by_user], np.arange(user.max(initial=-1) + 2))
+    at_user, end = edge[:-1].copy(), edge[1:]
+    at_item = np.searchsorted(item[by_item], np.arange(item.max(initial=-1) + 1))
+    active = np.arange(len(end))
+    while len(active := active[at_user[active] < end[active]]):
+        head = by_user[at_user[active]]
+        ready = by_item[at_item[item[head]]] == head
+        yield head[ready]
+        at_user[active[ready]] += 1
+        at_item[item[head[ready]]] += 1
+
+
+def sgd_pass(x: np.ndarray, y: np.ndarray, user: np.ndarray, item: np.ndarray, value: np.ndarray, step: float, lam: float) -> None:
+    """One pass over the ratings; an item moves towards its user's new vector."""
+    for now in waves(user, item):
+        u, i = user[now], item[now]
+        error = (value[now] - (x[u] * y[i]).sum(1))[:, None]
+        x[u] += step * (error * y[i] - lam * x[u])
+        y[i] += step * (error * x[u] - lam * y[i])
+
+
 def stratified_sgd(ratings: DataFrame, k: int = 20, epochs: int = 100, step: float = 0.01, lam: float = 0.01,
                    seed: str = "sgd", blocks: int | None = None, block_rows: int = 1_000_000):
-    """(user_factors, item_factors) by sequential SGD inside blocks (Gemulla et al. 2011).
+    """(user_factors, item_factors) by sequential SGD inside blocks (Gemulla et al. 2011); ids of any type.
 
     Users and items are hashed into B blocks each. In every sub-epoch B blocks
     without a common user or item are updated in parallel, each in one task
     with about ratings / B^2 rows. A popular item's ratings are split over the
-    B user blocks, so B also bounds its share of a task.
+    B user blocks, so B also bounds its share of a task. The cells of each
+    sub-epoch lie in a folder of their own, which is all that it reads. Blocks
+    go through their cells in the order of a hash, whatever the cluster.
     """
     if blocks is None:
         blocks = max(4, math.ceil(math.sqrt(ratings.count() / block_rows)))
+    kinds = {c: ratings.schema[c].dataType for c in ("user_id", "item_id")}
 
     def block(col: str):
-        return F.pmod(F.xxhash64(col), F.lit(blocks)).cast("int")
+        return F.pmod(F.xxhash64(F.col(col).cast("string")), F.lit(blocks)).cast("int")
 
-    cells = cut_lineage(ratings.select(
-        block("user_id").alias("ub"), block("item_id").alias("ib"), F.lit("r").alias("kind"),
-        F.col("user_id").alias("id"), F.col("item_id").alias("other"), F.col("rating").cast("double").alias("value"),
-        F.lit(None).cast("array<double>").alias("features")))
-    state = cut_lineage(init_factors(ratings, "user_id", k, seed + ":u").withColumn("kind", F.lit("u"))
-                        .unionByName(init_factors(ratings, "item_id", k, seed + ":i").withColumn("kind", F.lit("i"))))
+    ub, ib = block("user_id"), block("item_id")
+    cells = stored(ratings.select(
+        ub.alias("ub"), F.pmod(ib - ub, F.lit(blocks)).cast("int").alias("stratum"), F.col("user_id").cast("string").alias("id"),
+        F.col("item_id").cast("string").alias("other"), F.col("rating").cast("double").alias("value"),
+        F.xxhash64(F.lit(seed), F.col("user_id").cast("string"), F.col("item_id").cast("string")).alias("place"))
+        .repartition("stratum", "ub"), "cells", "stratum")
+
+    def start(col: str, kind: str) -> DataFrame:
+        return init_factors(ratings, col, k, f"{seed}:{kind}").select(
+            F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id"), "features")
+
+    state = stored(start("user_id", "u").unionByName(start("item_id", "i")), "sgd")
 
     def sweep(frame: pd.DataFrame) -> pd.DataFrame:
         side = {kind: frame[frame.kind == kind] for kind in ("u", "i", "r")}
-        x = {i: np.asarray(f) for i, f in zip(side["u"].id, side["u"].features)}
-        y = {i: np.asarray(f) for i, f in zip(side["i"].id, side["i"].features)}
-        rows = side["r"].sort_values(["other", "id"])
-        rows = rows.iloc[np.random.default_rng(len(rows)).permutation(len(rows))]
-        for u, i, r in zip(rows.id, rows.other.astype("int64"), rows.value):
-            error = r - x[u] @ y[i]
-            x[u] = x[u] + step * (error * y[i] - lam * x[u])
-            y[i] = y[i] + step * (error * x[u] - lam * y[i])
-        return pd.DataFrame([("u", i, f) for i, f in x.items()] + [("i", i, f) for i, f in y.items()],
-                            columns=["kind", "id", "features"])
-
-    empty = F.lit(None)
+        rows = side["r"].sort_values(["place", "id", "other"])
+        out = []
+        for kind in ("u", "i"):
+            own = side[kind].sort_values("id")
+            out.append((kind, own["id"].to_numpy(), np.stack(own["features"].to_numpy()).astype("float64") if len(own) else np.zeros((0, k))))
+        if len(rows):
+            user, item = (np.searchsorted(names, rows[c].to_numpy()) for (_, names, _), c in zip(out, ("id", "other")))
+            sgd_pass(out[0][2], out[1][2], user, item, rows["value"].to_numpy("float64"), step, lam)
+        return pd.DataFrame({"kind": np.concatenate([[kind] * len(names) for kind, names, _ in out]),
+                             "id": np.concatenate([names for _, names, _ in out]), "features": [f for _, _, m in out for f in m]})
+
     for shift in range(epochs * blocks):
         s = shift % blocks
         # the item block that meets user block b in this sub-epoch is b + s
         homed = state.select(
-            F.when(F.col("kind") == "u", block("id")).otherwise(F.pmod(block("id") - s, F.lit(blocks))).alias("ub"),
-            "kind", "id", empty.cast("bigint").alias("other"), empty.cast("double").alias("value"), "features")
-        mine = cells.filter(F.col("ib") == F.pmod(F.col("ub") + s, F.lit(blocks))).drop("ib")
-        state = (homed.unionByName(mine).groupBy("ub")
-                 .applyInPandas(sweep, "kind string, id bigint, features array<double>"))
-        state = cut_lineage(state)
-    return (state.filter("kind = 'u'").select("id", "features"),
-            state.filter("kind = 'i'").select("id", "features"))
+            F.when(F.col("kind") == "u", block("id")).otherwise(F.pmod(block("id") - s, F.lit(blocks))).cast("int").alias("ub"),
+            "kind", "id", F.lit(None).cast("string").alias("other"), F.lit(None).cast("double").alias("value"),
+            F.lit(None).cast("bigint").alias("place"), "features")
+        mine = cells.filter(F.col("stratum") == s).select(
+            "ub", F.lit("r").alias("kind"), "id", "other", "value", "place", F.lit(None).cast("array<double>").alias("features"))
+        moved = stored(homed.unionByName(mine).groupBy("ub").applyInPandas(
+            sweep, "kind string, id string, features array<double>"), "sgd")
+        delete_stored(state)
+        state = moved
+    delete_stored(cells)
+    return tuple(state.filter(F.col("kind") == kind).select(F.col("id").cast(kinds[col]).alias("id"), "features")
+                 for kind, col in (("u", "user_id"), ("i", "item_id")))
 
 
 def bpr_triples(ratings: DataFrame, draws: int = 1, seed: str = "bpr") -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillrank.functions.pairs import grouped_pairs
-from quillrank.operators import bandit, cofiba, ivf, keywords, leaf_trees, linucb, metrics, similarity, similarity_join
+from quillrank.operators import bandit, cofiba, factorization, ivf, keywords, leaf_trees, linucb, metrics, similarity, similarity_join
 from quillrank.streaming.sink import LatestRows
 
 
@@ -282,3 +282,30 @@ def test_stop_words_are_a_table(spark):
     assert {tuple(r) for r in stop.collect()} == {("aa", 3)}
     left = keywords.without_stop_words(keywords.term_frequency(docs), stop)
     assert {tuple(r) for r in left.collect()} == {(1, "bb", 1), (2, "cc", 1)}
+
+
+def test_waves_give_what_the_sequence_gives():
+    rng = np.random.default_rng(3)
+    user, item = np.minimum(rng.integers(0, 30, 500), 25), np.minimum(rng.geometric(0.1, 500), 40)
+    value, x, y = rng.normal(size=500), rng.normal(size=(30, 4)), rng.normal(size=(41, 4))
+    a, b = x.copy(), y.copy()
+    for u, i, r in zip(user, item, value):
+        error = r - a[u] @ b[i]
+        a[u] += 0.05 * (error * b[i] - 0.1 * a[u])
+        b[i] += 0.05 * (error * a[u] - 0.1 * b[i])
+    factorization.sgd_pass(x, y, user, item, value, 0.05, 0.1)
+    assert x == pytest.approx(a) and y == pytest.approx(b)
+    seen = np.concatenate(list(factorization.waves(user, item)))
+    assert sorted(seen.tolist()) == list(range(500))
+    for now in factorization.waves(user, item):
+        assert len(set(user[now])) == len(now) == len(set(item[now]))
+
+
+def test_sgd_takes_string_ids_on_any_number_of_workers(spark):
+    ratings = spark.range(400).select(F.concat(F.lit("u"), F.col("id") % 23).alias("user_id"), F.concat(F.lit("i"), F.hash("id") % 11).alias("item_id"),
+                                      (F.col("id") % 5).cast("double").alias("rating")).dropDuplicates(["user_id", "item_id"]).persist()
+    one, many = (factorization.stratified_sgd(frame, k=3, epochs=1, blocks=3) for frame in (ratings.coalesce(1), ratings.repartition(7)))
+    for mine, other in zip(one, many):
+        got = {r.id: list(r.features) for r in mine.collect()}
+        assert got == {r.id: list(r.features) for r in other.collect()} and all(isinstance(k, str) for k in got)
+    assert one[0].count() == 23
