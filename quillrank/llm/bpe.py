@@ -19,8 +19,10 @@ from .words import steps
 
 #: Fixed value: the vocabulary's pattern of the pieces that are encoded apart.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Chunks of text whose encoding a worker remembers; at this number it starts anew.
+#: Chunks of text whose encoding a worker remembers, and their characters in all; beyond either it starts anew. What it
+#: holds is then a few times REMEMBERED_CHARS, and the chunks of one batch.
 REMEMBERED = 800_000
+REMEMBERED_CHARS = 16 << 20
 NONE = np.iinfo(np.int32).max
 
 
@@ -126,6 +128,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.flat, self.at, self.decoded = np.zeros(0, np.int32), np.zeros(1, np.int64), []
         for token, i in self.v.special.items():
             self._add([token], np.array([i], np.int32), np.array([1]))
@@ -172,12 +175,13 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """(ids of all texts, bounds of each, decoded texts)."""
         split = [self.chunks(t) for t in texts]
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.forget()
         flat = list(chain.from_iterable(split))
         new = list(set(flat).difference(self.known))
         if new:
             self._learn(new)
+            self.chars += sum(map(len, new))
         numbers = list(map(self.known.__getitem__, flat))
         ids, bounds = ragged(self.flat, self.at, np.array(numbers, np.int64))
         ends = np.r_[0, np.cumsum([len(cs) for cs in split])]

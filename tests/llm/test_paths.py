@@ -226,6 +226,17 @@ def test_bpe_forgets_without_changing_its_answer(coder, monkeypatch):
     assert np.concatenate([x[0] for x in again]).tolist() == once[0].tolist()
 
 
+def test_bpe_remembers_no_long_chunks(coder, monkeypatch):
+    own, tool = coder
+    own.forget()
+    monkeypatch.setattr(bpe, "REMEMBERED_CHARS", 3000)
+    for k in range(12):
+        text = f"{'xyz' * 300}{k} short"
+        ids, _, _ = own.encode([text])
+        assert ids.tolist() == tool.encode(text, add_special_tokens=False).ids
+        assert own.chars <= 3000 + len(text) and sum(map(len, own.known)) <= 3000 + 2 * len(text)
+
+
 def test_decode_undoes_encode(spark):
     docs = frame(spark, [(1, "Some plain words"), (2, None), (3, "<|endoftext|> & more")])
     encoded = bpe.encode(docs)
