@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import out
 from ..operators import online_topics
 from ..sources.corpus import words_of_lines
 from ..streaming import bandit_streams as st
+from ..streaming import user_models
 from . import fixtures as fx
-from .bandit_queries import cells_sql, flat_sql, flat_state
+from .bandit_queries import cells_sql, flat_sql, flat_state, inverse_sql
 from .fixtures import PULLS, VECTOR_PULLS, WIDTH
 from .registry import ORACLES, query
 
@@ -40,6 +42,18 @@ def stream_user_state(spark, sf):
     return flat_state(st.stream_user_state(vector_pulls(spark, sf), WIDTH), ["user_id", "n"])
 
 
+@query("stream_user_models", f"""with recursive {VECTOR_PULLS},
+{cells_sql("s", "user_id", "pulls", 0.1, "reward")},
+{inverse_sql("solved", "user_id", "s")},
+counted as (select user_id, count(*) n from pulls group by 1)
+select user_id, n, unnest(range(1, {WIDTH + 1})) i, round(unnest(theta), 6) + 0.0 theta from solved join counted using (user_id)""")
+def stream_user_models(spark, sf):
+    """Inverse matrices are kept as state and moved by each batch."""
+    models = user_models.stream_user_models(vector_pulls(spark, sf), WIDTH)
+    return models.select("user_id", "n", F.posexplode("theta").alias("i", "theta")).select(
+        "user_id", "n", (F.col("i") + 1).cast("bigint").alias("i"), out(F.col("theta")).alias("theta"))
+
+
 @query("stream_arm_daily", f"""with {PULLS}
 select strftime(ts, '%Y-%m-%d') as "day", arm, count(*) trials, sum(reward)::bigint wins from pulls group by 1, 2""")
 def stream_arm_daily(spark, sf):

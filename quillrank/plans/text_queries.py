@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.columns import out
-from ..operators import ivf, keywords, tags, topics, vectors
+from ..operators import ivf, keywords, skipgram, tags, topics, vectors
 from ..session import cut_lineage, scratch_path
 from ..sources import corpus
 from . import fixtures as fx
@@ -289,6 +289,15 @@ def word2vec_vectors(spark, sf):
         "word", vector_to_array("vector").alias("vector"))
 
 
+@query("skipgram_continued")
+def skipgram_continued(spark, sf):
+    """Vectors trained on the English documents, then continued on all."""
+    labelled = fx.labelled(spark, sf).select("doc_id", "category", F.col("tags").alias("words"))
+    first, _ = skipgram.train(labelled.filter(F.col("category") == "en"), size=16, min_count=2, epochs=1)
+    model, _ = skipgram.train(labelled, size=16, min_count=2, epochs=1, old=first)
+    return model.select("word", "n", "vector")
+
+
 @query("lda_topics")
 def lda_topics(spark, sf):
     words = fx.all_words(spark, sf)
