@@ -341,5 +341,24 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
         (F.col("id") == F.col("component")).alias("kept"))
 
 
+SQL = r"""with recursive w as (
+  select doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws
+  from documents),
+shingles as materialized (
+  select distinct doc_id, md5(array_to_string(ws[s:s + 4], ' ')) h
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) s from w where len(ws) > 0)),
+sizes as materialized (select doc_id, count(*) n from shingles group by doc_id),
+shared as materialized (
+  select a.doc_id u, b.doc_id v, count(*) n from shingles a join shingles b using (h) where a.doc_id < b.doc_id group by 1, 2),
+links as materialized (
+  select u, v from shared s join sizes a on a.doc_id = u join sizes b on b.doc_id = v where 100 * s.n >= 85 * (a.n + b.n - s.n)),
+both_ways as materialized (select u, v from links union all select v, u from links),
+reach(node, root) as (select doc_id, doc_id from w union select k.v, r.root from reach r join both_ways k on k.u = r.node),
+least as (select node, min(root) root from reach group by 1)
+select doc_id, coalesce(n, 0)::bigint n_shingles, root component_id, doc_id = root kept
+from w join least on node = doc_id left join sizes using (doc_id)"""
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))

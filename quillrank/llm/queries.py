@@ -22,7 +22,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_near_dedup": near_dedup.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op9_substring_dedup": substring_dedup.SQL,
     "op10_line_dedup": line_dedup.SQL,
     "op11_importance": importance.SQL,
     "op13_collocations": collocations.SQL,

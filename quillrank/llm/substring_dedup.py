@@ -323,6 +323,23 @@ def substring_dedup(docs: DataFrame, size: int = 20) -> DataFrame:
     return kept_texts(docs, gone, size).select(doc_id(), "n_words", "n_removed", "kept")
 
 
+SQL = r"""with w as materialized (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws from documents),
+windows as materialized (
+  select doc_id, s, md5(array_to_string(ws[s:s + 19], ' ')) h
+  from (select doc_id, ws, unnest(range(1, len(ws) - 18)) s from w where len(ws) >= 20)),
+later as (
+  select doc_id, s from windows
+  qualify row_number() over (partition by h order by doc_id, s) > 1),
+gone as (select distinct doc_id, unnest(range(s, s + 20)) p from later),
+words as (select doc_id, unnest(ws) word, generate_subscripts(ws, 1) p from w),
+kept as (
+  select doc_id, string_agg(word, ' ' order by p) kept, count(*) n
+  from words anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(ws)::bigint n_words, len(ws)::bigint - coalesce(n, 0) n_removed, sha256(coalesce(kept, '')) kept_sha256
+from w left join kept using (doc_id)"""
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
