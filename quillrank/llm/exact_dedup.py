@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, NO_ID, doc_id, documents, join_sized, rows, saved
+from .common import BLANKS, NO_ID, discard, doc_id, documents, join_sized, rows, saved
 
 
 def entries(docs: DataFrame, key_bits: int = 64) -> DataFrame:
@@ -51,28 +51,52 @@ def directory(keys: DataFrame, capacity: int) -> tuple[DataFrame, int]:
     return done, deepest
 
 
-def index(docs: DataFrame, stored: DataFrame, capacity: int, key_bits: int = 64) -> DataFrame:
-    """One row per different text: (bucket, key, chain, sha, keep_id, group_size), stored by bucket.
+def rank() -> Column:
+    """Most code points, then smallest doc_id; the digest only tells rows apart that share both."""
+    return F.struct((-F.col("n")).alias("less"), "id", "sha")
+
 
-    Rows are first merged by key and whole normalised text, on the map side and then across, so texts are
-    compared byte by byte and a group of copies of any size arrives as a few rows. Each bucket is one key range;
-    its owner task sorts it by key and numbers the texts that share a key along a chain.
+def buckets(stored: DataFrame, capacity: int) -> DataFrame:
+    """(bucket, key, rows, id, sha): the index's files before texts are compared, one row per key, stored by bucket.
+
+    ``id`` and ``sha`` are those of the key's first row by rank.
     """
     slots, depth = directory(stored, capacity)
-    # most code points, then smallest doc_id, as one number that a hash aggregate can update in place
-    span, last = (F.lit(str(x)).cast("decimal(20,0)") for x in (1 << 64, NO_ID))
-    rank = F.col("n").cast("decimal(17,0)") * span + (last - F.col("id").cast("decimal(20,0)"))
-    texts = entries(docs, key_bits).groupBy("key", "norm", "sha").agg(
-        F.max(rank.cast("decimal(38,0)")).alias("rank"), F.count("*").alias("group_size"))
-    back = last - F.col("rank") % span
-    texts = saved(texts.select("key", "sha", back.cast("bigint").alias("keep_id"), "group_size",
-                               F.shiftrightunsigned("key", 64 - depth).alias("slot")), "exact-texts")
-    owned = (texts.join(slots, "slot").drop("slot").repartition("bucket")
-             .selectExpr("*", "row_number() over (partition by bucket, key order by sha, keep_id) chain",
-                         "lag(sha) over (partition by bucket, key order by sha, keep_id) before"))
-    return saved(owned.select("bucket", "key", "chain", "keep_id", "group_size", F.when(
-        F.col("sha").eqNullSafe(F.col("before")), F.raise_error("different texts share a SHA-256 digest"))
-        .otherwise(F.col("sha")).alias("sha")), "exact-index")
+    keys = stored.groupBy("key").agg(F.count("*").alias("rows"), F.min(rank()).alias("r")).select(
+        F.shiftrightunsigned("key", 64 - depth).alias("slot"), "key", "rows", "r.id", "r.sha")
+    return saved(keys.join(slots, "slot").drop("slot").repartition("bucket"), "exact-buckets")
+
+
+def index(docs: DataFrame, stored: DataFrame, capacity: int, key_bits: int = 64) -> DataFrame:
+    """One row per different text: (bucket, key, chain, sha, keep_id, group_size).
+
+    A key that one row has is a chain of one link; its text moves nowhere. The texts of the other keys go to the owner of
+    their bucket, a key's head (its first row by rank) is compared with them byte by byte, and those that equal it are its link. What
+    differs shares the key by collision only and makes the next link, until nothing is left: as many rounds as the
+    longest chain is long. Keys with many rows are not gathered, their head is sent to them: heads with over a
+    thousandth of the rows hold together at most a thousand mean texts.
+    """
+    files = buckets(stored, capacity)
+    single = files.filter("rows = 1").select("bucket", "key", F.lit(1).alias("chain"), "sha", F.col("id").alias("keep_id"),
+                                             F.lit(1).cast("bigint").alias("group_size"))
+    shared = files.filter("rows > 1").select("bucket", "key", "rows")
+    members = saved(join_sized(entries(docs, key_bits), shared, ["key"], "rows", stored.count())
+                    .select("bucket", "key", "id", "n", "sha", "norm"), "exact-members")
+    links, chain = single, 0
+    while not members.isEmpty():
+        chain += 1
+        heads = saved(members.groupBy("bucket", "key").agg(
+            F.count("*").alias("rows"), F.min(rank()).alias("r"), F.min_by("norm", rank()).alias("head"))
+            .select("bucket", "key", "rows", "head", F.col("r.id").alias("keep_id")), "exact-heads")
+        same = F.col("norm") == F.col("head")
+        met = saved(join_sized(members, heads.drop("bucket"), ["key"], "rows", members.count()).select(
+            "bucket", "key", "id", "n", "sha", "keep_id", F.when(~same, F.col("norm")).alias("norm")), "exact-met")
+        link = saved(met.filter("norm is null").groupBy("bucket", "key", "keep_id").agg(
+            F.count("*").alias("group_size"), F.min("sha").alias("sha")).withColumn("chain", F.lit(chain)), "exact-links")
+        left = saved(met.filter("norm is not null").drop("keep_id"), "exact-members")
+        discard(members, heads, met)
+        links, members = links.unionByName(link), left
+    return saved(links, "exact-index")
 
 
 def exact_duplicates(docs: DataFrame, capacity: int = 65536, key_bits: int = 64) -> DataFrame:
@@ -83,7 +107,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = 65536, key_bits: int = 64)
     comes last among equals. A repeated row counts in ``group_size`` and is kept with its twin: both carry the
     doc_id that stays. An empty table gives an empty result; other columns are ignored.
     """
-    stored = saved(entries(docs, key_bits).drop("norm", "n"), "exact-entries")
+    stored = saved(entries(docs, key_bits).drop("norm"), "exact-entries")
     found = index(docs, stored, capacity, key_bits).select("key", "sha", "keep_id", "group_size")
     return join_sized(stored, found, ["key", "sha"], "group_size", stored.count()).select(
         doc_id(), doc_id("keep_id").alias("keep_id"), "group_size", (F.col("id") == F.col("keep_id")).alias("kept"),

@@ -41,6 +41,18 @@ def test_colliding_keys_are_chained(spark):
     assert {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got} == brute.exact(texts)
 
 
+def test_chains_hold_each_text_of_a_key_once(spark):
+    """The index decides: one link per different text, in the bucket that owns the key, heads first by rank."""
+    texts = [(d, f"text {d // 4}" + " " * (d % 3)) for d in range(40)] + [(None, "text 0"), (None, "lone"), (3, "lone"), (3, "other")]
+    docs = frame(spark, texts)
+    stored = exact_dedup.entries(docs, 2).drop("norm")
+    got = exact_dedup.index(docs, stored, 2, 2).collect()
+    assert len(got) == 12 and sum(r.group_size for r in got) == len(texts)
+    for key in {r.key for r in got}:
+        own = sorted((r for r in got if r.key == key), key=lambda r: r.chain)
+        assert [r.chain for r in own] == list(range(1, len(own) + 1)) and len({r.bucket for r in own}) == 1
+
+
 def test_near_groups_need_several_pivots(spark):
     """A chain of texts, each close to the next alone, and a star of edits around one text."""
     rng = random.Random(3)
