@@ -70,17 +70,17 @@ def buckets(stored: DataFrame, capacity: int) -> DataFrame:
 def index(docs: DataFrame, stored: DataFrame, capacity: int, key_bits: int = 64) -> DataFrame:
     """One row per different text: (bucket, key, chain, sha, keep_id, group_size).
 
-    A key that one row has is a chain of one link; its text moves nowhere. The texts of the other keys go to the owner of
-    their bucket, a key's head (its first row by rank) is compared with them byte by byte, and those that equal it are its link. What
-    differs shares the key by collision only and makes the next link, until nothing is left: as many rounds as the
-    longest chain is long. Keys with many rows are not gathered, their head is sent to them: heads with over a
-    thousandth of the rows hold together at most a thousand mean texts.
+    A key that one row has is a chain of one link. The texts meet their keys in one shuffle, the same at every size;
+    of keys that several rows have, the head (the first row by rank) is compared with the others byte by byte, and those
+    that equal it are its link. What differs shares the key by collision only and makes the next link, until nothing is
+    left: as many rounds as the longest chain is long. Keys with many rows are not gathered, their head is sent to
+    them: heads with over a thousandth of the rows hold together at most a thousand mean texts.
     """
     files = buckets(stored, capacity)
     single = files.filter("rows = 1").select("bucket", "key", F.lit(1).alias("chain"), "sha", F.col("id").alias("keep_id"),
                                              F.lit(1).cast("bigint").alias("group_size"))
     shared = files.filter("rows > 1").select("bucket", "key", "rows")
-    members = saved(join_sized(entries(docs, key_bits), shared, ["key"], "rows", stored.count())
+    members = saved(join_sized(entries(docs, key_bits), shared.hint("merge"), ["key"], "rows", stored.count())
                     .select("bucket", "key", "id", "n", "sha", "norm"), "exact-members")
     links, chain = single, 0
     while not members.isEmpty():
@@ -89,7 +89,7 @@ def index(docs: DataFrame, stored: DataFrame, capacity: int, key_bits: int = 64)
             F.count("*").alias("rows"), F.min(rank()).alias("r"), F.min_by("norm", rank()).alias("head"))
             .select("bucket", "key", "rows", "head", F.col("r.id").alias("keep_id")), "exact-heads")
         same = F.col("norm") == F.col("head")
-        met = saved(join_sized(members, heads.drop("bucket"), ["key"], "rows", members.count()).select(
+        met = saved(join_sized(members, heads.drop("bucket").hint("merge"), ["key"], "rows", members.count()).select(
             "bucket", "key", "id", "n", "sha", "keep_id", F.when(~same, F.col("norm")).alias("norm")), "exact-met")
         link = saved(met.filter("norm is null").groupBy("bucket", "key", "keep_id").agg(
             F.count("*").alias("group_size"), F.min("sha").alias("sha")).withColumn("chain", F.lit(chain)), "exact-links")
