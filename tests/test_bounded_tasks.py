@@ -1,8 +1,9 @@
 """What a task holds at once, and what it moves, does not grow with the batch or the table it is given."""
 
+import numpy as np
 import pyarrow as pa
 
-from quillrank.operators import keywords
+from quillrank.operators import cofiba, keywords, linucb
 
 
 class Captured:
@@ -50,3 +51,38 @@ def test_textrank_keeps_words_that_rounding_makes_equal(spark):
     every = sorted(map(tuple, keywords.textrank_keywords(words, top=None).collect()))
     for top in (1, 2, 5):
         assert sorted(map(tuple, keywords.textrank_keywords(words, top=top).collect())) == [r for r in every if r[3] <= top]
+
+
+def test_rare_keys_travel_as_they_are(spark, monkeypatch):
+    """A batch in which each key has one pull hands on its vectors, not a matrix a key; a frequent key becomes one row."""
+    steps, kind = [], type(spark.range(1))
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, work, schema, **more: steps.append(work) or plain(self, work, schema, **more))
+    d = 16
+    rows = [(k if k < 300 else None if k < 310 else -1, [float((k * j) % 7) for j in range(d)], float(k % 2)) for k in range(600)]
+    rows += [(None, None, 1.0), (5, None, None), (6, [1.0] * d, None)]
+    pulls = spark.createDataFrame(rows, "user_id bigint, x array<double>, reward double").coalesce(1)
+    got = {r.user_id: r for r in linucb.ridge_sums(pulls, "user_id", d, 0.5).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for key, r in got.items():
+        own = [p for p in rows if p[0] == key]
+        a = sum((np.outer(p[1], p[1]) for p in own if p[1]), 0.5 * np.eye(d))
+        b = sum((np.array(p[1]) * (p[2] or 0) for p in own if p[1]), np.zeros(d))
+        assert r.n == len(own) and np.allclose(r.a, a.ravel()) and np.allclose(r.b, b)
+    given = pa.RecordBatch.from_arrays([pa.array([p[0] for p in rows], pa.int64()), pa.array([p[1] for p in rows], pa.list_(pa.float64())),
+                                        pa.array([p[2] for p in rows], pa.float64())], ["k", "x", "r"])
+    handed = list(steps[0](iter([given])))
+    assert sum(b.nbytes for b in handed) < 1.5 * given.nbytes
+    assert sum(b.num_rows - b.column("sums").null_count for b in handed) == 2  # the frequent keys: -1 and null
+
+
+def test_clusters_do_not_depend_on_blocks(spark, monkeypatch):
+    rows = [(u, [float((u * j) % 5) for j in range(6)], float(u % 2)) for u in range(30)]
+    state = cofiba.user_state(spark.createDataFrame(rows, "user_id bigint, x array<double>, reward double"), 6).persist()
+    clusters = spark.createDataFrame([(i, u, (u * i) % 3) for i in range(9) for u in range(30)], "item_id bigint, user_id bigint, cluster bigint")
+    found = []
+    for size in (64, 4):
+        monkeypatch.setattr(cofiba, "BLOCK", size)
+        found.append(sorted((r.item_id, r.cluster, r.users, np.round(r.a, 9).tolist(), np.round(r.b, 9).tolist())
+                            for r in cofiba.cluster_state(clusters, state, 6).collect()))
+    assert found[0] == found[1] and len(found[0]) == len({(i, (u * i) % 3) for i in range(9) for u in range(30)})
