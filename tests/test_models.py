@@ -78,6 +78,24 @@ def test_models_do_not_depend_on_the_layout(spark, clicks):
     assert {n for n, _ in one} >= {"f", "x", "bias", "W0", "W2", "gamma1", "var0"} and len(one) > 30
 
 
+def test_small_models_stay_with_the_driver_and_are_the_same(spark, clicks, monkeypatch):
+    """A step of a small model is one job; the table's way gives the same bits, from the start and continued."""
+    def trained(**more):
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("steps", "steps")
+        model = trainer.train(clicks, DEEP, batch=700, chunk=128, **more)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return model, len(jobs.getJobIdsForGroup("steps"))
+
+    whole, jobs = trained()
+    assert jobs < 4 * whole.steps
+    more, _ = trained(start=whole)
+    monkeypatch.setattr(trainer, "RESIDENT", 0)
+    table, _ = trained(shards=5, compact=2)
+    assert parameters(whole) == parameters(table) and whole.losses == table.losses
+    assert parameters(more) == parameters(trained(start=table)[0]) and parameters(whole) == parameters(table)
+
+
 def test_a_saved_model_goes_on_as_if_it_had_not_stopped(spark, clicks, tmp_path):
     whole = trainer.train(clicks, DEEP, batch=3000, epochs=2, chunk=3000)
     half = trainer.train(clicks, DEEP, batch=3000, chunk=3000)
