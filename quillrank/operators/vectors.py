@@ -20,6 +20,35 @@ def dot_products(left: DataFrame, right: DataFrame, key: str, features: str = "f
             .select(key, dot(F.col("__a"), F.col("__b")).alias("dot")))
 
 
+#: Rows of a block that are compared at once.
+STRIP = 256
+
+
+def unit_rows(features: pd.Series) -> np.ndarray:
+    m = np.stack(features.to_numpy()).astype("float64")
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+
+def best_of_block(ids: np.ndarray, rows: np.ndarray, names: np.ndarray, others: np.ndarray, k: int) -> pd.DataFrame:
+    """(id, neighbour, sim): for each row at least its k best of the others by inner product, rows of its own id left out.
+
+    The k-th best is at least the k-th of the maxima of more than k groups of columns, so that only what lies above
+    that bound is rounded and handed on. A strip of rows is held at a time.
+    """
+    found, width = [], len(names)
+    starts = np.arange(0, width, max(1, width // (8 * k)))
+    for at in range(0, len(ids), STRIP):
+        own, sims = ids[at:at + STRIP], rows[at:at + STRIP] @ others.T
+        sims[(own[:, None] == names[None, :]) | np.isnan(sims)] = -np.inf
+        if k < width:
+            edge = -np.partition(-np.maximum.reduceat(sims, starts, axis=1), k - 1, axis=1)[:, k - 1:k]
+            row, col = np.nonzero((sims >= edge - 2e-6) & (sims > -np.inf))
+        else:
+            row, col = np.nonzero(sims > -np.inf)
+        found.append(pd.DataFrame({"id": own[row], "neighbour": names[col], "sim": np.round(sims[row, col], 6)}))
+    return pd.concat(found)
+
+
 def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, block: int = 4096,
             id_type: str = "bigint") -> DataFrame:
     """(id, neighbour, sim, rank): exact top-k by cosine, the vector itself left out.
@@ -39,23 +68,10 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, block: int = 40
     q = blocks(queries, "qb", q_blocks, "vb", v_blocks).groupBy("qb", "vb")
     v = blocks(vectors, "vb", v_blocks, "qb", q_blocks).groupBy("qb", "vb")
 
-    def unit(frame: pd.DataFrame) -> np.ndarray:
-        m = np.stack(frame.features.to_numpy()).astype("float64")
-        return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-
     def best(qs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": [], "neighbour": [], "sim": []})
         if qs.empty or vs.empty:
-            return empty
-        sims = np.round(unit(qs) @ unit(vs).T, 6)
-        ids, names = qs.id.to_numpy(), vs.id.to_numpy()
-        sims[ids[:, None] == names[None, :]] = -np.inf
-        if k < sims.shape[1]:
-            edge = -np.partition(-sims, k - 1, axis=1)[:, k - 1:k]
-            row, col = np.nonzero((sims >= edge) & (sims > -np.inf))
-        else:
-            row, col = np.nonzero(sims > -np.inf)
-        return pd.DataFrame({"id": ids[row], "neighbour": names[col], "sim": sims[row, col]})
+            return pd.DataFrame({"id": [], "neighbour": [], "sim": []})
+        return best_of_block(qs.id.to_numpy(), unit_rows(qs.features), vs.id.to_numpy(), unit_rows(vs.features), k)
 
     found = q.cogroup(v).applyInPandas(best, f"id {id_type}, neighbour {id_type}, sim double")
     order = W.partitionBy("id").orderBy(F.desc("sim"), "neighbour")
