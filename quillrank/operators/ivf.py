@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import dot
 from ..session import delete_stored, stored
-from .vectors import nearest
+from .vectors import best_of_block, nearest, unit_rows
 
 ENTRY = "list int, id bigint, codes binary"
+#: Numbers that a task makes at once out of the rows it is given.
+HELD = 1 << 21
+#: Least rows of a list's part where vectors meet; a strip of their products is held at a time.
+EXACT = 4096
 
 
 @dataclass
@@ -72,17 +76,20 @@ class Index:
         return cls(Quantiser(centres, np.stack(books)), spark.read.parquet(f"{path}/entries"), vectors)
 
 
-def _unit(features: pd.Series) -> np.ndarray:
-    m = np.stack(features.to_numpy()).astype("float64")
-    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+def _strips(frame: pd.DataFrame, width: int):
+    """Parts of a frame whose rows, with ``width`` numbers made of each, stay below ``HELD`` numbers."""
+    step = max(1, HELD // max(width, 1))
+    for k in range(0, len(frame), step):
+        yield frame.iloc[k:k + step]
 
 
 def _closest(rows: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` nearest centres of each row, nearest first; ties to the smaller number."""
     out = np.empty((len(rows), n), np.int64)
-    for k in range(0, len(rows), 4096):
-        far = (centres ** 2).sum(1)[None] - 2 * rows[k:k + 4096] @ centres.T
-        out[k:k + 4096] = np.argsort(far, axis=1, kind="stable")[:, :n]
+    step = min(4096, max(1, HELD // len(centres)))
+    for k in range(0, len(rows), step):
+        far = (centres ** 2).sum(1)[None] - 2 * rows[k:k + step] @ centres.T
+        out[k:k + step] = np.argsort(far, axis=1, kind="stable")[:, :n]
     return out
 
 
@@ -111,7 +118,7 @@ def fit(vectors: DataFrame, lists: int | None = None, parts: int = 16, words: in
               .select("place", "id", "features"))
 
     def centres(frame: pd.DataFrame) -> pd.DataFrame:
-        found = _lloyd(_unit(frame.sort_values(["place", "id"])["features"]), lists, rounds)
+        found = _lloyd(unit_rows(frame.sort_values(["place", "id"])["features"]), lists, rounds)
         return pd.DataFrame({"a": np.arange(len(found)), "x": list(found)})
 
     def book(frame: pd.DataFrame) -> pd.DataFrame:
@@ -127,7 +134,7 @@ def fit(vectors: DataFrame, lists: int | None = None, parts: int = 16, words: in
         for frame in batches:
             if frame.empty:
                 continue
-            rows = _unit(frame["features"])
+            rows = unit_rows(frame["features"])
             rest = rows - top[_closest(rows, top, 1)[:, 0]]
             for p in range(parts):
                 yield pd.DataFrame({"part": p, "place": frame["place"], "id": frame["id"], "x": list(rest[:, p * width:(p + 1) * width])})
@@ -142,11 +149,10 @@ def fit(vectors: DataFrame, lists: int | None = None, parts: int = 16, words: in
 
 def _encoded(vectors: DataFrame, q: Quantiser) -> DataFrame:
     def encode(batches):
-        for frame in batches:
-            if frame.empty:
-                continue
-            own, codes = q.encode(_unit(frame["features"]))
-            yield pd.DataFrame({"list": own.astype("int32"), "id": frame["id"], "codes": [c.tobytes() for c in codes]})
+        for batch in batches:
+            for frame in _strips(batch, q.books.shape[0] * q.books.shape[1]):
+                own, codes = q.encode(unit_rows(frame["features"]))
+                yield pd.DataFrame({"list": own.astype("int32"), "id": frame["id"], "codes": [c.tobytes() for c in codes]})
     return vectors.select("id", "features").mapInPandas(encode, ENTRY)
 
 
@@ -159,20 +165,22 @@ def build(vectors: DataFrame, quantiser: Quantiser | None = None, **fitting) ->
 def search(index: Index, queries: DataFrame, k: int = 10, probes: int = 8, rerank: int = 200, limit: int = 2048) -> DataFrame:
     """(id, neighbour, sim, rank): the k best of the probed lists for each query (id, features), itself left out.
 
-    The ``rerank`` entries with the nearest codes are compared exactly. A list above ``limit`` entries, and the
+    The ``rerank`` entries with the nearest codes are compared exactly. If these are all entries there are, codes rule
+    nothing out: then vectors meet in the lists, and a block, of 4,096 rows a side at least, hands on the k best of each query. A list above ``limit`` entries, and the
     queries of a list above ``limit``, are split, so that no task meets more than limit x limit of them at once.
     """
     q, sizes = index.quantiser, index.sizes()
+    exactly = rerank >= sum(sizes.values())
+    limit = max(limit, EXACT) if exactly else limit
     probes = min(probes, len(q.centres))
 
     def probe(batches):
-        for frame in batches:
-            if frame.empty:
-                continue
-            rows = _unit(frame["features"])
-            found = _closest(rows, q.centres, probes)
-            yield pd.DataFrame({"list": found.ravel().astype("int32"), "id": np.repeat(frame["id"].to_numpy(), probes),
-                                "unit": [x for x in rows for _ in range(probes)]})
+        for batch in batches:
+            for frame in _strips(batch, probes * q.centres.shape[1]):
+                rows = unit_rows(frame["features"])
+                found = _closest(rows, q.centres, probes)
+                yield pd.DataFrame({"list": found.ravel().astype("int32"), "id": np.repeat(frame["id"].to_numpy(), probes),
+                                    "unit": [x for x in rows for _ in range(probes)]})
 
     asked = queries.select("id", "features").mapInPandas(probe, "list int, id bigint, unit array<double>")
     asking = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}
@@ -205,6 +213,19 @@ def search(index: Index, queries: DataFrame, k: int = 10, probes: int = 8, reran
         out = pd.concat(out)
         return out[np.isfinite(out["far"])]
 
+    order = W.partitionBy("id").orderBy(F.desc("sim"), "neighbour")
+    if exactly:
+        def meet_exactly(qs: pd.DataFrame, es: pd.DataFrame) -> pd.DataFrame:
+            if qs.empty or es.empty:
+                return pd.DataFrame({"id": [], "neighbour": [], "sim": []})
+            return best_of_block(qs["id"].to_numpy(), unit_rows(qs["features"]), es["id"].to_numpy(), unit_rows(es["features"]), k)
+
+        asks = left.select("list", "id", "qp", "ep").join(queries.select("id", "features"), "id")
+        held = right.select("list", "id", "qp", "ep").join(index.vectors.select("id", "features"), "id")
+        exact = asks.groupBy("list", "ep", "qp").cogroup(held.groupBy("list", "ep", "qp")).applyInPandas(
+            meet_exactly, "id bigint, neighbour bigint, sim double")
+        return exact.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
     met = left.groupBy("list", "ep", "qp").cogroup(right.groupBy("list", "ep", "qp")).applyInPandas(
         meet, "id bigint, neighbour bigint, far double")
     near = met.withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("far", "neighbour"))).filter(F.col("place") <= rerank)
@@ -215,7 +236,6 @@ def search(index: Index, queries: DataFrame, k: int = 10, probes: int = 8, reran
 
     exact = (near.select("id", "neighbour").join(unit(index.vectors, "neighbour", "e"), "neighbour")
              .join(unit(queries, "id", "x"), "id").select("id", "neighbour", F.round(dot(F.col("x"), F.col("e")), 6).alias("sim")))
-    order = W.partitionBy("id").orderBy(F.desc("sim"), "neighbour")
     return exact.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 

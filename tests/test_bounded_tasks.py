@@ -1,9 +1,13 @@
 """What a task holds at once, and what it moves, does not grow with the batch or the table it is given."""
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from quillrank.operators import cofiba, keywords, linucb
+from quillrank.operators import cofiba, ivf, keywords, linucb, topics, vectors
 
 
 class Captured:
@@ -86,3 +90,76 @@ def test_clusters_do_not_depend_on_blocks(spark, monkeypatch):
         found.append(sorted((r.item_id, r.cluster, r.users, np.round(r.a, 9).tolist(), np.round(r.b, 9).tolist())
                             for r in cofiba.cluster_state(clusters, state, 6).collect()))
     assert found[0] == found[1] and len(found[0]) == len({(i, (u * i) % 3) for i in range(9) for u in range(30)})
+
+
+def brute(ids, rows, names, others, k):
+    found = []
+    for i, x in zip(ids, rows):
+        near = sorted((-round(float(x @ y), 6), int(n)) for n, y in zip(names, others) if n != i and not np.isnan(x @ y))
+        found += [(int(i), n, -s) for s, n in near[:k]]
+    return sorted(found)
+
+
+def test_blocks_of_neighbours_are_compared_in_strips():
+    """The k best with ties and missing numbers; few rows more leave a block, and its products are never held as a whole."""
+    rng = np.random.default_rng(3)
+    others = rng.integers(-2, 3, (300, 4)).astype(float)
+    others[7, 1] = np.nan
+    names = np.arange(300)
+    for k in (1, 5, 299, 400):
+        got = vectors.best_of_block(names, others, names, others, k).sort_values(["id", "sim", "neighbour"], ascending=[True, False, True])
+        got = got.groupby("id").head(k)
+        assert sorted(zip(got.id, got.neighbour, got.sim)) == brute(names, others, names, others, k)
+    wide = rng.normal(size=(4096, 16))
+    tracemalloc.start()
+    got = vectors.best_of_block(np.arange(2048), wide[:2048], np.arange(4096), wide, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and len(got) < 2048 * 20  # the products of the block alone would take 67 MB
+
+
+def test_nearest_has_the_neighbours_of_all_blocks(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, x.tolist()) for k, x in enumerate(rng.integers(-3, 4, (60, 3)).astype(float))]
+    frame = spark.createDataFrame(rows, "id bigint, features array<double>")
+    unit = vectors.unit_rows(pd.Series([np.array(x) for _, x in rows]))
+    got = sorted((r.id, r.neighbour, r.sim) for r in vectors.nearest(frame, frame, k=4, block=16).collect())
+    assert got == brute(np.arange(60), unit, np.arange(60), unit, 4)
+
+
+def test_inverted_file_makes_few_numbers_at_once(spark, monkeypatch):
+    monkeypatch.setattr(ivf, "HELD", 1 << 10)
+    frame = pd.DataFrame({"id": range(100)})
+    parts = list(ivf._strips(frame, 64))
+    assert max(map(len, parts)) == 16 and pd.concat(parts).equals(frame) and max(map(len, ivf._strips(frame, 1 << 20))) == 1
+
+
+def test_full_reranking_hands_on_no_pairs(spark):
+    """With all entries ranked again only the final ranking is left; repeated ids count as before."""
+    rng = np.random.default_rng(6)
+    rows = [(k, x.tolist()) for k, x in enumerate(rng.normal(size=(80, 4)))]
+    frame = spark.createDataFrame(rows, "id bigint, features array<double>")
+    index = ivf.build(frame, lists=5, parts=2, words=8)
+    found = ivf.search(index, frame.filter("id % 4 = 0"), k=3, probes=5, rerank=1 << 30, limit=10)
+    unit = vectors.unit_rows(pd.Series([np.array(x) for _, x in rows]))
+    assert sorted((r.id, r.neighbour, r.sim) for r in found.collect()) == brute(np.arange(0, 80, 4), unit[::4], np.arange(80), unit, 3)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Window ") == 1
+    twice = ivf.build(frame.unionByName(frame), index.quantiser)
+    few = ivf.search(twice, frame.filter("id = 8"), k=6, probes=5, rerank=1 << 30).orderBy("rank").collect()
+    (_, first, _), (_, second, _) = sorted(brute([8], unit[8:9], np.arange(80), unit, 2), key=lambda r: -r[2])
+    assert [r.neighbour for r in few] == [first] * 4 + [second] * 2
+
+
+def test_vocabulary_reads_the_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(n):
+        read.add(1)
+        return [f"w{n % 7}", f"v{n}"]
+
+    texts = spark.range(40).coalesce(1).select((F.col("id") < 10).alias("old"), F.udf(seen, "array<string>")("id").alias("words"))
+    first = topics.vocabulary(texts.filter("old"))
+    rows = topics.extend_vocabulary(first, texts).collect()
+    assert sorted(r.id for r in rows) == list(range(47)) and len({r.word for r in rows}) == 47
+    assert {r.word for r in rows if r.id < 17} == {f"w{n}" for n in range(7)} | {f"v{n}" for n in range(10)}
+    assert read.value <= 2 * 50
