@@ -18,6 +18,10 @@ from ..session import cut_lineage
 from .keywords import term_frequency
 
 
+#: Words of documents that a task works on at once.
+HELD_WORDS = 1 << 16
+
+
 def digamma(x: np.ndarray) -> np.ndarray:
     """Recurrence up to x >= 6, then the asymptotic series."""
     x = np.array(x, dtype=float)
@@ -44,6 +48,32 @@ def document_step(counts: np.ndarray, beta: np.ndarray, alpha: float, rounds: in
     return gamma, beta * theta * (counts / (beta @ theta + 1e-100))[:, None]
 
 
+def documents_step(counts: np.ndarray, sizes: np.ndarray, beta: np.ndarray, alpha: float, rounds: int = 50):
+    """:func:`document_step` of many documents, whose words stand one after the other, ``sizes`` of them each.
+
+    A document rests once its weights have settled; the others go on without it.
+    """
+    gamma = np.ones((len(sizes), beta.shape[1]))
+
+    def shares(of: np.ndarray) -> np.ndarray:
+        return np.exp(digamma(of) - digamma(of.sum(1, keepdims=True)))
+
+    live, size, c, b = np.arange(len(sizes)), sizes, counts, beta
+    for _ in range(rounds):
+        own, first = np.repeat(np.arange(len(live)), size), np.cumsum(size) - size
+        theta = shares(gamma[live])
+        norm = (b * theta[own]).sum(1) + 1e-100
+        new = alpha + theta * np.add.reduceat((c / norm)[:, None] * b, first, axis=0)
+        on = ~(np.abs(new - gamma[live]).mean(1) < 1e-3)
+        gamma[live] = new
+        if not on.any():
+            break
+        if not on.all():
+            live, size, c, b = live[on], size[on], c[on[own]], b[on[own]]
+    theta = shares(gamma)[np.repeat(np.arange(len(sizes)), sizes)]
+    return gamma, beta * theta * (counts / ((beta * theta).sum(1) + 1e-100))[:, None]
+
+
 def start(words: DataFrame, topics: int, seed: str = "lda") -> DataFrame:
     """(word, weight) start values of the distinct words."""
     return (words.select(F.explode("words").alias("word")).distinct()
@@ -61,10 +91,12 @@ def _bags(words: DataFrame, weights: DataFrame, topics: int) -> DataFrame:
 
 
 def _documents(frame: pd.DataFrame, alpha: float):
-    for r in frame.itertuples(index=False):
-        weight = np.stack(r.weight)
-        beta = np.exp(digamma(weight) - digamma(np.asarray(r.total)))
-        yield r, *document_step(np.asarray(r.tf, dtype=float), beta, alpha)
+    """(rows, gammas, expected counts of their words) for about ``HELD_WORDS`` words at a time."""
+    sizes = frame["tf"].map(len).to_numpy()
+    for _, part in frame.groupby(np.cumsum(sizes) // HELD_WORDS, sort=False):
+        weight = np.stack([w for ws in part["weight"] for w in ws])
+        beta = np.exp(digamma(weight) - digamma(np.asarray(part["total"].iloc[0])))
+        yield part, *documents_step(np.concatenate(part["tf"].to_list()).astype(float), part["tf"].map(len).to_numpy(), beta, alpha)
 
 
 def update(words: DataFrame, topics: int, weights: DataFrame | None = None, updates: int = 0,
@@ -79,8 +111,8 @@ def update(words: DataFrame, topics: int, weights: DataFrame | None = None, upda
 
     def expected(batches):
         for frame in batches:
-            for r, _, stats in _documents(frame, alpha):
-                yield pd.DataFrame({"word": r.word, "stat": list(stats)})
+            for part, _, stats in _documents(frame, alpha):
+                yield pd.DataFrame({"word": np.concatenate(part["word"].to_list()), "stat": list(stats)})
 
     stats = (_bags(words, known, topics).mapInPandas(expected, "word string, stat array<double>")
              .groupBy("word").agg(*[F.sum(F.col("stat")[k]).alias(f"s{k}") for k in range(topics)]))
@@ -101,8 +133,8 @@ def infer(words: DataFrame, weights: DataFrame, topics: int) -> DataFrame:
     """(doc_id, topics): one distribution per document with a known word."""
     def mixtures(batches):
         for frame in batches:
-            rows = [(r.doc_id, gamma / gamma.sum()) for r, gamma, _ in _documents(frame, 1.0 / topics)]
-            yield pd.DataFrame(rows, columns=["doc_id", "topics"])
+            for part, gamma, _ in _documents(frame, 1.0 / topics):
+                yield pd.DataFrame({"doc_id": part["doc_id"], "topics": list(gamma / gamma.sum(1, keepdims=True))})
 
     kind = words.schema["doc_id"].dataType.simpleString()
     return _bags(words, weights, topics).mapInPandas(mixtures, f"doc_id {kind}, topics array<double>")

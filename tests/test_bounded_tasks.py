@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from quillrank.operators import cofiba, ivf, keywords, linucb, topics, vectors
+from quillrank.operators import cofiba, ivf, keywords, linucb, online_topics, topics, vectors
 
 
 class Captured:
@@ -163,3 +163,23 @@ def test_vocabulary_reads_the_text_once(spark):
     assert sorted(r.id for r in rows) == list(range(47)) and len({r.word for r in rows}) == 47
     assert {r.word for r in rows if r.id < 17} == {f"w{n}" for n in range(7)} | {f"v{n}" for n in range(10)}
     assert read.value <= 2 * 50
+
+
+def test_documents_are_solved_together_as_one_by_one(monkeypatch):
+    """Each document settles in its own number of rounds; a task holds a bounded number of words."""
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 60, 50)
+    weight, counts = rng.gamma(0.4, 3.0, (sizes.sum(), 4)) + 0.01, rng.integers(1, 9, sizes.sum()).astype(float)
+    total = weight.sum(0)
+    beta = np.exp(online_topics.digamma(weight) - online_topics.digamma(total))
+    gamma, stats = online_topics.documents_step(counts, sizes, beta, 0.25)
+    ends = np.cumsum(sizes)
+    for d, (a, b) in enumerate(zip(ends - sizes, ends)):
+        one, own = online_topics.document_step(counts[a:b], beta[a:b], 0.25)
+        assert np.allclose(gamma[d], one, rtol=1e-9) and np.allclose(stats[a:b], own, rtol=1e-9)
+    monkeypatch.setattr(online_topics, "HELD_WORDS", 100)
+    frame = pd.DataFrame([(d, counts[a:b], list(weight[a:b]), total) for d, (a, b) in enumerate(zip(ends - sizes, ends))],
+                         columns=["doc_id", "tf", "weight", "total"])
+    parts = list(online_topics._documents(frame, 0.25))
+    assert len(parts) > 5 and max(len(s) for _, _, s in parts) <= 160
+    assert np.allclose(np.concatenate([g for _, g, _ in parts]), gamma) and np.allclose(np.concatenate([s for _, _, s in parts]), stats)
