@@ -80,20 +80,19 @@ def test_models_do_not_depend_on_the_layout(spark, clicks):
 
 def test_small_models_stay_with_the_driver_and_are_the_same(spark, clicks, monkeypatch):
     """A step of a small model is one job; the table's way gives the same bits, from the start and continued."""
-    def trained(**more):
-        jobs = spark.sparkContext.statusTracker()
-        spark.sparkContext.setJobGroup("steps", "steps")
-        model = trainer.train(clicks, DEEP, batch=700, chunk=128, **more)
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-        return model, len(jobs.getJobIdsForGroup("steps"))
-
-    whole, jobs = trained()
-    assert jobs < 4 * whole.steps
-    more, _ = trained(start=whole)
+    def trained(batch=700, **more):
+        return trainer.train(clicks, DEEP, batch=batch, chunk=128, **more)
+
+    spark.sparkContext.setJobGroup("steps", "steps")
+    many = trained(batch=100)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert many.steps == 20 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("steps")) < 2 * many.steps
+    whole = trained()
+    more = trained(start=whole)
     monkeypatch.setattr(trainer, "RESIDENT", 0)
-    table, _ = trained(shards=5, compact=2)
+    table = trained(shards=5, compact=2)
     assert parameters(whole) == parameters(table) and whole.losses == table.losses
-    assert parameters(more) == parameters(trained(start=table)[0]) and parameters(whole) == parameters(table)
+    assert parameters(more) == parameters(trained(start=table)) and parameters(whole) == parameters(table)
 
 
 def test_a_saved_model_goes_on_as_if_it_had_not_stopped(spark, clicks, tmp_path):
