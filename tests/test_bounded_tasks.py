@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from quillrank.operators import cofiba, ivf, keywords, linucb, online_topics, topics, vectors
+from quillrank.operators import cofiba, ctr_features, ivf, keywords, linucb, online_topics, topics, vectors
 
 
 class Captured:
@@ -183,3 +183,25 @@ def test_documents_are_solved_together_as_one_by_one(monkeypatch):
     parts = list(online_topics._documents(frame, 0.25))
     assert len(parts) > 5 and max(len(s) for _, _, s in parts) <= 160
     assert np.allclose(np.concatenate([g for _, g, _ in parts]), gamma) and np.allclose(np.concatenate([s for _, _, s in parts]), stats)
+
+
+def shuffles(df):
+    """Exchanges in the plan but those that broadcast."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange" in line and "Broadcast" not in line for line in plan.split("== Initial Plan ==")[-1].splitlines())
+
+
+def test_ffm_moves_the_rows_of_a_sample_once(spark, monkeypatch):
+    features = spark.createDataFrame([(s, f, 10 * f + s % 3, 1.0 + s) for s in range(12) for f in range(3)], "sample_id long, field int, feature int, value double")
+    vectors = spark.createDataFrame([(x, t, [x * 0.1, t - 0.5]) for x in range(30) for t in range(3)], "feature int, target int, v array<double>")
+    want = {s: sum(((10 * f + s % 3) * 0.01 * (10 * g + s % 3) + (g - 0.5) * (f - 0.5)) * (1 + s) ** 2 for f in range(3) for g in range(f + 1, 3))
+            for s in range(12)}
+    for numbers, moves in ((1 << 21, 1), (0, 3)):
+        monkeypatch.setattr(ctr_features, "BROADCAST_NUMBERS", numbers)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = ctr_features.ffm_score(features, vectors, 2)
+        assert shuffles(got) == moves
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        scores = {r.sample_id: r.score for r in got.collect()}
+        assert scores.keys() == want.keys()
+        assert all(abs(scores[s] - want[s]) < 1e-9 * max(1, abs(want[s])) for s in want)
