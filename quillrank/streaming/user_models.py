@@ -12,6 +12,10 @@ from ..functions.linalg import stack
 from .sink import latest
 
 
+#: Matrices that an Arrow batch may hold.
+BATCH_BYTES = 1 << 24
+
+
 def compressed(d: int):
     """Turns each Arrow batch into one row a user: (k, n, at, xs, b) with at most d rows of features.
 
@@ -63,8 +67,9 @@ def user_models(pulls: DataFrame, d: int, ridge: float = 0.1, idle: str | None =
                 F.transform("x", lambda v: v * F.coalesce("r", F.lit(0.0)))).alias("b"))
 
     def update(key, frames, state: GroupState):
-        n, ainv, b = state.get if state.exists else (0, (np.eye(d) / ridge).ravel(), np.zeros(d))
-        n, ainv, b = int(n), np.array(ainv, "float64").reshape(d, d), np.array(b, "float64")
+        # bytes, as many states wait for their batch to fill and a list of numbers takes four times as much
+        n, ainv, b = state.get if state.exists else (0, (np.eye(d) / ridge).tobytes(), np.zeros(d).tobytes())
+        n, ainv, b = int(n), np.frombuffer(ainv).reshape(d, d), np.frombuffer(b)
         if state.hasTimedOut:
             state.remove()
             yield pd.DataFrame({"user_id": [key[0]], "n": [n], "theta": [ainv @ b], "ainv": [ainv.ravel()], "expired": [True]})
@@ -77,18 +82,27 @@ def user_models(pulls: DataFrame, d: int, ridge: float = 0.1, idle: str | None =
             n, b = n + int(frame["n"].sum()), b + stack(frame["b"]).sum(0)
             if idle is not None:
                 last = max(last, int(frame["at"].max().timestamp() * 1000))
-        state.update((n, ainv.ravel().tolist(), b.tolist()))
+        state.update((n, ainv.tobytes(), b.tobytes()))
         if idle is not None:
             state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + pause)
         yield pd.DataFrame({"user_id": [key[0]], "n": [n], "theta": [ainv @ b], "ainv": [ainv.ravel()], "expired": [False]})
 
     return rows.groupBy("k").applyInPandasWithState(
         update, f"user_id {kind}, n bigint, theta array<double>, ainv array<double>, expired boolean",
-        "n bigint, ainv array<double>, b array<double>", "update",
+        "n bigint, ainv binary, b binary", "update",
         GroupStateTimeout.NoTimeout if idle is None else GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_user_models(pulls: DataFrame, d: int, ridge: float = 0.1, idle: str | None = None, delay: str = "1 hour",
                        path: str | None = None) -> DataFrame:
-    """The newest model of each user after all input there is; a restart with the same ``path`` goes on."""
-    return latest(user_models(pulls, d, ridge, idle, delay), ["user_id"], path)
+    """The newest model of each user after all input there is; a restart with the same ``path`` goes on.
+
+    Arrow batches are cut by rows, and a row holds a matrix: as many are allowed as take ``BATCH_BYTES``.
+    """
+    conf, name = pulls.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(max(1, min(int(before) if int(before) > 0 else 10_000, BATCH_BYTES // (8 * d * d)))))
+    try:
+        return latest(user_models(pulls, d, ridge, idle, delay), ["user_id"], path)
+    finally:
+        conf.set(name, before)

@@ -76,3 +76,18 @@ def test_idle_users_leave_and_start_anew(spark, tmp_path):
     table = um.stream_user_models(stream(spark, folder), D, idle="10 minutes", delay="1 minute", path=path)
     got = {r.user_id: (r.n, r.expired) for r in table.collect()}
     assert got["a"] == (1, False)
+
+
+def test_a_batch_of_states_is_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Rows of an Arrow batch are as few as their matrices are large, and the session's setting is put back."""
+    name, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    real = um.latest
+    monkeypatch.setattr(um, "latest", lambda *a: sizes.append(int(spark.conf.get(name))) or real(*a))
+    monkeypatch.setattr(um, "BATCH_BYTES", 8 * D * D * 2)
+    folder = str(tmp_path / "in")
+    rows = events(7, [f"u{k % 13}" for k in range(60)], range(60))
+    write(spark, folder, "1", rows)
+    agree(um.stream_user_models(stream(spark, folder), D, path=str(tmp_path / "out")), batch(rows))
+    assert sizes == [2]
+    assert spark.conf.get(name) == before
