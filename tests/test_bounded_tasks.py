@@ -205,3 +205,20 @@ def test_ffm_moves_the_rows_of_a_sample_once(spark, monkeypatch):
         scores = {r.sample_id: r.score for r in got.collect()}
         assert scores.keys() == want.keys()
         assert all(abs(scores[s] - want[s]) < 1e-9 * max(1, abs(want[s])) for s in want)
+
+
+def test_ratings_are_made_in_slices_of_bounded_size(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from quillrank import session
+    from quillrank.plans import fixtures as fx
+    lines = spark.range(3000).select((F.col("id") % 700).alias("l_orderkey"), (F.col("id") * 7 % 13).alias("l_suppkey"),
+                                     (F.col("id") % 50 + 1).cast("double").alias("l_quantity"))
+    lines.unionByName(lines.limit(5).withColumn("l_suppkey", F.lit(None).cast("bigint"))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(700).select(F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    whole = fx.ratings(spark, str(tmp_path))
+    monkeypatch.setattr(fx, "slices", lambda df: session.slices(df, 100))
+    cut = fx.ratings(spark, str(tmp_path))
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+    assert cut.rdd.getNumPartitions() == 31 > whole.rdd.getNumPartitions()
+    assert session.slices(spark.range(10), 100) == 0
