@@ -222,3 +222,40 @@ def test_ratings_are_made_in_slices_of_bounded_size(spark, tmp_path, monkeypatch
     assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
     assert cut.rdd.getNumPartitions() == 31 > whole.rdd.getNumPartitions()
     assert session.slices(spark.range(10), 100) == 0
+
+
+def test_a_block_of_sgd_holds_no_python_strings(spark, monkeypatch):
+    """100,000 ratings of one block; ids without a value are ids like others."""
+    from pyspark.sql.group import GroupedData
+
+    from quillrank.operators import factorization as mf
+    rng = np.random.default_rng(5)
+    n, k = 100_000, 4
+    ratings = pd.DataFrame({"user_id": rng.integers(0, 900, n), "item_id": rng.integers(0, 70, n), "rating": rng.integers(1, 6, n).astype(float)})
+    kept = []
+
+    def captured(self, work, schema):
+        kept.append(work)
+        return self.count().select(F.lit("u").alias("kind"), F.lit("1").alias("id"), F.array(F.lit(0.0)).alias("features"))
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", captured)
+    mf.stratified_sgd(spark.createDataFrame(ratings.head(100)), k=k, epochs=1, blocks=1)
+    names = {"u": [None, *map(str, range(900))], "i": list(map(str, range(70)))}
+    start = {kind: rng.random((len(ids), k)) for kind, ids in names.items()}
+    user = [None if u == 0 else str(u) for u in ratings.user_id]
+    none = [None] * n
+    batches = [pa.RecordBatch.from_pydict({"kind": ["r"] * n, "id": user, "other": list(map(str, ratings.item_id)), "value": ratings.rating,
+                                           "place": pa.array(range(n), pa.int64()), "features": pa.array(none, pa.list_(pa.float64()))})]
+    batches += [pa.RecordBatch.from_pydict({"kind": [kind] * len(ids), "id": ids, "other": pa.array([None] * len(ids), pa.string()), "value": pa.array([None] * len(ids), pa.float64()),
+                                            "place": pa.array([None] * len(ids), pa.int64()), "features": pa.array(list(start[kind]))}) for kind, ids in names.items()]
+    tracemalloc.start()
+    got = {(kind, i): f for b in kept[0]((), iter(batches)) for kind, i, f in zip(*(b.column(c).to_pylist() for c in ("kind", "id", "features")))}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * n
+    x, y = start["u"].copy(), start["i"].copy()
+    at = {i: row for row, i in enumerate(names["u"])}
+    mf.sgd_pass(x, y, np.array([at[u] for u in user]), ratings.item_id.to_numpy(), ratings.rating.to_numpy(), 0.01, 0.01)
+    assert len(got) == 971
+    np.testing.assert_allclose(got["u", None], x[0])
+    np.testing.assert_allclose(got["i", "7"], y[7])
