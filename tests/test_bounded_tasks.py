@@ -259,3 +259,24 @@ def test_a_block_of_sgd_holds_no_python_strings(spark, monkeypatch):
     assert len(got) == 971
     np.testing.assert_allclose(got["u", None], x[0])
     np.testing.assert_allclose(got["i", "7"], y[7])
+
+
+def test_tfidf_moves_only_words_that_may_lead(spark, monkeypatch):
+    """Equal to ranking every word, with documents that share an id, words the lexicon lacks or has twice, and ties."""
+    monkeypatch.setattr(keywords, "COMMON_WORDS", 6)
+    monkeypatch.setattr(keywords, "HELD_WORDS", 100)
+    rng = np.random.default_rng(3)
+    rows = [(d, [f"w{int(w)}" for w in rng.zipf(1.4, 60) % 90]) for d in [*range(30), 3, 3, 7]]
+    rows += [(None, ["w1", "w80"]), (None, ["w80"]), (40, None), (41, []), (42, ["w2", None, None])]
+    words = spark.createDataFrame(rows, "doc_id bigint, words array<string>").repartition(3)
+    lexicon = keywords.idf_lexicon(words).filter("word <> 'w5'").unionByName(
+        spark.createDataFrame([("w9", 0.25), ("w9", 7.0), ("w11", None), ("w12", -1.0), ("absent", 0.0)], "word string, idf double"))
+    every = keywords.tfidf_keywords(words, lexicon, top=None)
+    for top in (1, 4, 0):
+        got = keywords.tfidf_keywords(words, lexicon, top=top)
+        assert sorted(map(str, got.collect())) == sorted(map(str, every.filter(F.col("rank") <= top).collect()))
+    unique = words.filter("doc_id between 8 and 29")
+    monkeypatch.setattr(keywords, "COMMON_WORDS", 1000)
+    assert keywords.leading_terms(unique, keywords.idf_lexicon(words), 4).count() < 0.6 * keywords.term_frequency(unique).count()
+    nothing = lexicon.limit(0)
+    assert keywords.tfidf_keywords(words, nothing, top=2).filter("score is not null").count() == 0
