@@ -280,3 +280,24 @@ def test_tfidf_moves_only_words_that_may_lead(spark, monkeypatch):
     assert keywords.leading_terms(unique, keywords.idf_lexicon(words), 4).count() < 0.6 * keywords.term_frequency(unique).count()
     nothing = lexicon.limit(0)
     assert keywords.tfidf_keywords(words, nothing, top=2).filter("score is not null").count() == 0
+
+
+def test_skipgram_pairs_travel_in_blocks(spark, monkeypatch):
+    """Counted in small blocks and many parts, pairs equal those of a plain count; what is shuffled are blocks."""
+    from collections import Counter
+    monkeypatch.setattr(topics, "PAIR_WORDS", 50)
+    monkeypatch.setattr(topics, "PART_BYTES", 1 << 22)
+    rng = np.random.default_rng(8)
+    rows = [(d % 50, [f"wört{int(w)}" for w in rng.zipf(1.5, int(rng.integers(0, 40))) % 25]) for d in range(60)] + [(1, None), (2, []), (3, ["once"]), (None, ["a", "a", "b"])]
+    words = spark.createDataFrame(rows, "doc_id bigint, words array<string>").repartition(3)
+    want = Counter()
+    for _, own in rows:
+        for at, a in enumerate(own or []):
+            for b in (own[at + 1:at + 4]):
+                want[a, b] += 1
+                want[b, a] += 1
+    pairs = topics.skipgram_pairs(words, window=3)
+    assert {(r.center, r.context): r.n for r in pairs.collect()} == want
+    assert pairs.count() == len(want)
+    assert "block#" in pairs._jdf.queryExecution().toString()
+    assert topics.skipgram_pairs(words.filter("false")).count() == 0
