@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import out
 from ..operators import online_topics
+from ..session import delete_stored
 from ..sources.corpus import words_of_lines
 from ..streaming import bandit_streams as st
 from ..streaming import user_models
@@ -70,6 +71,11 @@ def stream_topics(spark, sf):
 def lda_online(spark, sf):
     """Trained on the English documents, updated with all, then inferred for all."""
     words = fx.labelled(spark, sf).select("doc_id", "category", F.col("tags").alias("words"))
-    weights = online_topics.train(words.filter(F.col("category") == "en"), 4, rounds=2)
-    weights = online_topics.update(words, 4, weights, updates=2)
-    return online_topics.infer(words, weights, 4)
+    first = online_topics.train(words.filter(F.col("category") == "en"), 4, rounds=2)
+    every = online_topics.Bags(words)
+    weights = online_topics.update(every, 4, first, updates=2)
+    delete_stored(first)
+    found = online_topics.infer(every, weights, 4)
+    delete_stored(weights)
+    every.delete()
+    return found

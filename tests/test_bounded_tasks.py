@@ -7,6 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from quillrank.functions.columns import uniform
 from quillrank.operators import cofiba, ctr_features, ivf, keywords, linucb, online_topics, topics, vectors
 
 
@@ -185,6 +186,56 @@ def test_documents_are_solved_together_as_one_by_one(monkeypatch):
     assert np.allclose(np.concatenate([g for _, g, _ in parts]), gamma) and np.allclose(np.concatenate([s for _, _, s in parts]), stats)
 
 
+def solved_by_hand(docs, weights, topics, rate):
+    """(weights, mixtures) of one step of online topics, document by document."""
+    total = np.sum(list(weights.values()), axis=0)
+    stats, mixed = {w: np.zeros(topics) for w in weights}, {}
+    for d, words in docs.items():
+        named = sorted(set(words))
+        beta = np.exp(online_topics.digamma(np.array([weights[w] for w in named])) - online_topics.digamma(total))
+        gamma, own = online_topics.document_step(np.array([words.count(w) for w in named], float), beta, 1 / topics)
+        mixed[d] = gamma / gamma.sum()
+        for w, s in zip(named, own):
+            stats[w] += s
+    return {w: (1 - rate) * weights[w] + rate * (1 / topics + stats[w]) for w in weights}, mixed
+
+
+def test_topics_of_many_chunks_and_parts_are_those_of_single_documents(spark, monkeypatch):
+    """All documents take part in each step; rows that share their id are one document, but apart if asked for."""
+    rng = np.random.default_rng(6)
+    rows = [(d % 25, [f"w{k}" for k in rng.integers(0, 40, rng.integers(0, 30))]) for d in range(30)]
+    docs = {}
+    for d, words in rows:
+        docs[d] = docs.get(d, []) + words
+    docs = {d: words for d, words in docs.items() if words}
+    monkeypatch.setattr(online_topics, "HELD_WORDS", 50)
+    df = spark.createDataFrame(rows, "doc_id bigint, words array<string>").repartition(3)
+    weights = {w: online_topics.first_weights([w], 3, "lda:7")[0] for w in {w for words in docs.values() for w in words}}
+    for done in range(2):
+        weights, _ = solved_by_hand(docs, weights, 3, (1.0 + done) ** -0.5)
+    _, mixed = solved_by_hand(docs, weights, 3, 1.0)
+    first = spark.createDataFrame([("lda:7", w, k) for w in weights for k in range(3)], "s string, w string, k int").select(
+        "w", "k", (uniform(F.col("s"), F.col("w"), F.col("k")) + 0.5).alias("u"))
+    assert {(r.w, r.k): r.u for r in first.collect()} == {(w, k): online_topics.first_weights([w], 3, "lda:7")[0][k] for w in weights for k in range(3)}
+    got = topics.train_lda(df, topics=3, rounds=2)
+    found = {r.word: r.weight for r in got.weights.collect()}
+    assert found.keys() == weights.keys()
+    assert all(np.allclose(found[w], weights[w], rtol=1e-9) for w in weights)
+    assert {r.doc_id: tuple(np.round(r.topics, 9)) for r in online_topics.infer(df, got.weights, 3).collect()} == {d: tuple(np.round(m, 9)) for d, m in mixed.items()}
+    every = topics.infer_topics(got, df.unionByName(spark.createDataFrame([(99, ["other"]), (99, [])], df.schema))).collect()
+    assert sorted(r.doc_id for r in every) == sorted([d for d, _ in rows] + [99, 99])
+    assert all(r.topics == [0.0] * 3 for r in every if r.doc_id == 99)
+
+
+def test_a_chunk_asks_once_for_the_weights_of_a_word(monkeypatch):
+    """What travels follows the distinct words of a chunk, not the words of its documents."""
+    held = [pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array([["a", "b", "b", None]] * 50), pa.nulls(50, pa.list_(pa.int64()))], ["doc_id", "words", "tf"])]
+    rows = online_topics.chunk_rows(held, 7, 4).to_pylist()
+    assert sum(len(online_topics.unpack_columns(r["block"])["word"]) for r in rows if r["kind"] == "words") == 2
+    docs = online_topics.unpack_columns(rows[0]["block"])
+    assert docs["size"].to_pylist() == [2] * 50 and sorted(docs["n"].to_pylist()) == [1] * 50 + [2] * 50
+
+
 def shuffles(df):
     """Exchanges in the plan but those that broadcast."""
     plan = df._jdf.queryExecution().executedPlan().toString()
