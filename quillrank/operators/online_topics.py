@@ -336,9 +336,10 @@ def _step(state: DataFrame, bags: Bags, topics: int, rate: float, scale: float)
             sums[np.frombuffer(places, "int32")] += np.frombuffer(stats[chunk]).reshape(-1, topics)
         yield state_row(key[0].as_py(), row["words"], (1 - rate) * weight + rate * (eta + scale * sums), row["chunks"], row["places"])
 
-    stats = _met(state, bags, topics).applyInArrow(expected, "part int, chunk bigint, block binary")
+    stats = stored(_met(state, bags, topics).applyInArrow(expected, "part int, chunk bigint, block binary"), "stats")
+    free_shuffles(state.sparkSession)  # weights and sums need not be on disk at once
     new = stored(stats.unionByName(state, allowMissingColumns=True).groupBy("part").applyInArrow(moved, STATE), "topics")
-    delete_stored(state)
+    delete_stored(stats, state)
     free_shuffles(state.sparkSession)
     return new
 
